@@ -302,7 +302,7 @@ def scd2_every_event(spark, sf):
     return flat_history(scd2.scd2_pipeline(crud_events(spark, sf), None, spec, AS_OF, project_user))
 
 
-def _two_loads(spark, sf):
+def two_loads(spark, sf):
     """A first load up to a local hour, then a delta of everything after it."""
     log = crud_events(spark, sf)
     cut = F.lit("2024-01-16 05:00:00").cast("timestamp_ntz")
@@ -314,7 +314,7 @@ def _two_loads(spark, sf):
 @query("scd2_incremental", full_sql(HOURLY_SQL))
 def scd2_incremental(spark, sf):
     """First load plus delta merge must equal one full rebuild."""
-    first, delta = _two_loads(spark, sf)
+    first, delta = two_loads(spark, sf)
     return flat_history(mg.merged_rows(mg.merge_scd2_current(first, delta, ["user_id"])))
 
 
