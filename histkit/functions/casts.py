@@ -55,6 +55,17 @@ def null_defaults(df: DataFrame, defaults: Mapping[str, Any]) -> DataFrame:
     return df.withColumns(out)
 
 
+def nullable(t: T.DataType) -> T.DataType:
+    """The type with every nested part nullable; casts cannot promise non-null fields."""
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, nullable(f.dataType), True) for f in t.fields])
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(nullable(t.elementType), True)
+    if isinstance(t, T.MapType):
+        return T.MapType(nullable(t.keyType), nullable(t.valueType), True)
+    return t
+
+
 def conform(
     df: DataFrame, schema: T.StructType, untouched: Iterable[str] = ("etl_metadata_struct",)
 ) -> DataFrame:
@@ -62,7 +73,7 @@ def conform(
     skip = set(untouched)
     return df.select(
         *[
-            F.col(f.name) if f.name in skip else F.col(f.name).cast(f.dataType).alias(f.name)
+            F.col(f.name) if f.name in skip else F.col(f.name).cast(nullable(f.dataType)).alias(f.name)
             for f in schema.fields
         ]
     )

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from histkit.functions.casts import nullable
 from histkit.functions.hashing import comparable
 from histkit.operators.scd2 import DEFAULT_COLUMNS, Scd2Columns
 
@@ -123,7 +124,7 @@ def merge(
                     new = F.col(f"s.{f.name}") if f.name in source_names else F.lit(None)
             else:
                 new = _new_value(f.name, c, F.col(f"t.{f.name}"))
-            value = F.when(pick == i, new.cast(f.dataType)).otherwise(value)
+            value = F.when(pick == i, new.cast(nullable(f.dataType))).otherwise(value)
         out.append(value.alias(f.name))
     action = F.when(in_t, F.lit("keep"))
     for i, c in enumerate(clauses):

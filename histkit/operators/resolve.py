@@ -7,9 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from histkit.functions.casts import nullable
 from histkit.functions.nested import match_flag
 from histkit.functions.times import OPEN_END, col_of, open_end, trunc_hour
-from histkit.operators.events import top_rank, union_all
+from histkit.operators.events import top_rank
 from histkit.operators.joins import missing_keys
 from histkit.operators.merge import merge_if_different, merged_rows
 from histkit.operators.timeline import DEFAULT_LABELS, HOUR, INFO_FIELDS, Labels
@@ -27,10 +28,9 @@ def person_id(kind: str | Column, key: str | Column) -> Column:
 
 def _insert(person: DataFrame, rows: DataFrame) -> DataFrame:
     """Append rows to the person table; columns they do not have stay null."""
-    return person.unionByName(
-        rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in person.schema if f.name in rows.columns]),
-        allowMissingColumns=True,
-    )
+    known = [f for f in person.schema.fields if f.name in rows.columns]
+    typed = rows.select(*[F.col(f.name).cast(nullable(f.dataType)).alias(f.name) for f in known])
+    return person.unionByName(typed, allowMissingColumns=True)
 
 
 def upsert_primary_persons(
@@ -80,20 +80,13 @@ def legacy_address(prefix: str = "best_address_") -> Column:
     return F.struct(*[F.col(prefix + c).alias(n) for n, c in parts.items()], country)
 
 
-def insert_legacy_persons(
-    person: DataFrame,
-    devices: DataFrame,
-    individuals: DataFrame,
-    labels: Labels = DEFAULT_LABELS,
-    updated: str = "update_est_timestamp",
-) -> DataFrame:
-    """Add persons of the legacy tables that are not known by individual id yet."""
+def _legacy_rows(devices: DataFrame, individuals: DataFrame, labels: Labels, updated: str) -> DataFrame:
     latest = top_rank(
         devices.where("account_id is not null and individual_id is not null"),
         ["individual_id"],
         [updated, "account_id"],
     ).select("individual_id", "account_id")
-    rows = latest.join(individuals, "individual_id").select(
+    return latest.join(individuals, "individual_id").select(
         person_id("individual", "individual_id").alias("person_id"),
         F.lit(labels.legacy).alias("source"),
         "individual_id",
@@ -106,13 +99,9 @@ def insert_legacy_persons(
         F.lit(ACTIVE).alias("state"),
         F.col("account_id").alias("primary_legacy_account_id"),
     )
-    return _insert(person, missing_keys(rows, person, ["individual_id"]))
 
 
-def insert_account_persons(
-    person: DataFrame, devices: DataFrame, labels: Labels = DEFAULT_LABELS
-) -> DataFrame:
-    """One person per legacy account that has a row without an individual."""
+def _account_rows(person: DataFrame, devices: DataFrame, labels: Labels) -> DataFrame:
     rows = (
         devices.where("account_id is not null and individual_id is null")
         .select("account_id")
@@ -125,13 +114,10 @@ def insert_account_persons(
         )
     )
     known = person.where(F.col("source") == labels.account)
-    return _insert(person, missing_keys(rows, known, ["primary_legacy_account_id"]))
+    return missing_keys(rows, known, ["primary_legacy_account_id"])
 
 
-def insert_identity_persons(
-    person: DataFrame, timeline: DataFrame, labels: Labels = DEFAULT_LABELS
-) -> DataFrame:
-    """One person per identity that nothing else resolves."""
+def _identity_rows(person: DataFrame, timeline: DataFrame, labels: Labels) -> DataFrame:
     rows = top_rank(timeline.where(F.col("id_source") == labels.identity), ["identity_id"], [HOUR]).select(
         person_id("identity", "identity_id").alias("person_id"),
         F.lit(labels.identity).alias("source"),
@@ -141,7 +127,33 @@ def insert_identity_persons(
         F.col("identity_id").alias("primary_identity_id"),
     )
     known = person.where(F.col("source") == labels.identity)
-    return _insert(person, missing_keys(rows, known, ["primary_identity_id"]))
+    return missing_keys(rows, known, ["primary_identity_id"])
+
+
+def insert_legacy_persons(
+    person: DataFrame,
+    devices: DataFrame,
+    individuals: DataFrame,
+    labels: Labels = DEFAULT_LABELS,
+    updated: str = "update_est_timestamp",
+) -> DataFrame:
+    """Add persons of the legacy tables that are not known by individual id yet."""
+    rows = _legacy_rows(devices, individuals, labels, updated)
+    return _insert(person, missing_keys(rows, person, ["individual_id"]))
+
+
+def insert_account_persons(
+    person: DataFrame, devices: DataFrame, labels: Labels = DEFAULT_LABELS
+) -> DataFrame:
+    """One person per legacy account that has a row without an individual."""
+    return _insert(person, _account_rows(person, devices, labels))
+
+
+def insert_identity_persons(
+    person: DataFrame, timeline: DataFrame, labels: Labels = DEFAULT_LABELS
+) -> DataFrame:
+    """One person per identity that nothing else resolves."""
+    return _insert(person, _identity_rows(person, timeline, labels))
 
 
 def resolve_persons(
@@ -150,12 +162,25 @@ def resolve_persons(
     devices: DataFrame,
     individuals: DataFrame,
     labels: Labels = DEFAULT_LABELS,
+    updated: str = "update_est_timestamp",
 ) -> DataFrame:
-    """All four person loads in their order."""
-    out = merged_rows(upsert_primary_persons(person, timeline, labels))
-    out = insert_legacy_persons(out, devices, individuals, labels)
-    out = insert_account_persons(out, devices, labels)
-    return insert_identity_persons(out, timeline, labels)
+    """The four person loads as one union.
+
+    Same result as running them one after the other, but every step compares with the
+    stored table instead of with the plan of the steps before it: the billing load only adds
+    individuals (so the legacy load also skips those), and the other two look at classes
+    only they write.
+    """
+    merged = merged_rows(upsert_primary_persons(person, timeline, labels))
+    billed = timeline.where((F.col("id_source") == labels.billing) & F.col("hh_individual_id").isNotNull())
+    known = person.select("individual_id").unionByName(
+        billed.select(F.col("hh_individual_id").alias("individual_id")).distinct()
+    )
+    legacy = missing_keys(_legacy_rows(devices, individuals, labels, updated), known, ["individual_id"])
+    out = merged
+    for rows in (legacy, _account_rows(person, devices, labels), _identity_rows(person, timeline, labels)):
+        out = _insert(out, rows)
+    return out
 
 
 _BEST = {
@@ -176,9 +201,16 @@ def best_flags(ours: Mapping[str, str] | None = None) -> dict[str, Column]:
     }
 
 
+_PERSON_NAMES = ("person_id", "primary_identity_id", "primary_legacy_account_id", *[b for _, b in _BEST.values()])
+
+
 def _person_columns(person: DataFrame) -> list[Column]:
-    names = ["person_id", "primary_identity_id", "primary_legacy_account_id", *[b for _, b in _BEST.values()]]
-    return [F.col(n).alias(f"p_{n}") for n in names]
+    return [F.col(n).alias(f"p_{n}") for n in _PERSON_NAMES]
+
+
+def _key(name: str) -> Column:
+    """Keys of different sources share one column, as text."""
+    return F.col(name).cast("string")
 
 
 def identity_history(timeline: DataFrame, person: DataFrame, labels: Labels = DEFAULT_LABELS) -> DataFrame:
@@ -195,20 +227,27 @@ def identity_history(timeline: DataFrame, person: DataFrame, labels: Labels = DE
         .otherwise(F.lit("identity"))
     )
     natural = (
-        F.when(is_class["billing"], F.col("hh_individual_id"))
-        .when(is_class["legacy"], F.col("legacy_individual_id"))
-        .when(is_class["account"], F.col("legacy_account_id"))
-        .otherwise(F.col("identity_id"))
+        F.when(is_class["billing"], _key("hh_individual_id"))
+        .when(is_class["legacy"], _key("legacy_individual_id"))
+        .when(is_class["account"], _key("legacy_account_id"))
+        .otherwise(_key("identity_id"))
+    )
+    # One row per way a person can be found: by individual, by account or by identity.
+    ways = F.array(
+        F.struct(F.lit("individual").alias("_kind"), _key("individual_id").alias("_natural")),
+        F.struct(
+            F.lit("account").alias("_kind"),
+            F.when(F.col("source") == labels.account, _key("primary_legacy_account_id")).alias("_natural"),
+        ),
+        F.struct(
+            F.lit("identity").alias("_kind"),
+            F.when(F.col("source") == labels.identity, _key("primary_identity_id")).alias("_natural"),
+        ),
     )
-    people = union_all(
-        [
-            person.where(cond).select(F.lit(k).alias("_kind"), F.col(c).alias("_natural"), *_person_columns(person))
-            for k, c, cond in (
-                ("individual", "individual_id", F.col("individual_id").isNotNull()),
-                ("account", "primary_legacy_account_id", F.col("source") == labels.account),
-                ("identity", "primary_identity_id", F.col("source") == labels.identity),
-            )
-        ]
+    people = (
+        person.select(F.explode(ways).alias("_way"), *_person_columns(person))
+        .select("_way.*", *[f"p_{n}" for n in _PERSON_NAMES])
+        .where(F.col("_natural").isNotNull())
     )
     rows = timeline.withColumns({"_kind": kind, "_natural": natural}).join(
         people, ["_kind", "_natural"], "left"
@@ -218,7 +257,9 @@ def identity_history(timeline: DataFrame, person: DataFrame, labels: Labels = DE
     before = F.lag("p_person_id").over(over)
     rows = rows.withColumn("_prior", before)
     moved = F.col("_prior").isNotNull() & ~F.col("_prior").eqNullSafe(F.col("p_person_id"))
-    individual = F.when(F.col("_kind") == "individual", F.col("_natural"))
+    individual = F.when(is_class["billing"], F.col("hh_individual_id")).when(
+        is_class["legacy"], F.col("legacy_individual_id")
+    )
     return rows.select(
         F.col("identity_id").alias("unified_identity_id"),
         F.lit(labels.person).alias("source"),

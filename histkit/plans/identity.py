@@ -15,6 +15,7 @@ from histkit.operators.events import union_all
 from histkit.operators.resolve import identity_history, legacy_account_history, resolve_persons
 from histkit.operators.scd2 import scd_stage
 from histkit.operators.timeline import DEFAULT_LABELS, Labels, unified_timeline
+from histkit.sources.files import materialize
 
 Verbs = Mapping[str, DataFrame]
 
@@ -180,11 +181,11 @@ def identity_load(
 ) -> tuple[DataFrame, DataFrame]:
     """Full load: (new person table, identity history including legacy accounts).
 
-    The timeline and the person table feed several later steps. On a cluster write them as
-    snapshots in between and pass the tables read back, so they are computed once.
+    The timeline and the person table feed several later steps, so both are written to the
+    shared folder once.
     """
-    line = unified_timeline(stages, labels=labels)
-    people = resolve_persons(person, line, devices, individuals, labels)
+    line = materialize(unified_timeline(stages, labels=labels), "timeline")
+    people = materialize(resolve_persons(person, line, devices, individuals, labels), "person")
     return people, full_history(line, people, devices, individuals, labels)
 
 

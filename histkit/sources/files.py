@@ -28,6 +28,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back.
+
+    Cuts the plan where a result feeds several later steps. The files are columnar, so each
+    step reads only its columns, and they survive the loss of executors.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table, or a parquet folder when the name is a path."""
     return spark.read.parquet(name) if "/" in name else spark.table(name)
