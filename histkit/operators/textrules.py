@@ -27,32 +27,33 @@ class Rule:
 
 
 # The rewrite rules of each step, in the order they apply.
+# Flags: U - Unicode white space and word borders, d - only \\n ends a line.
 COMMENT_RULES = (Rule(r"(?s)/\*.*?\*/"),)
-KEYWORD_RULES = (Rule(r"(?i)\bSEL\b", "SELECT"),)
+KEYWORD_RULES = (Rule(r"(?iU)\bSEL\b", "SELECT"),)
 OPERATOR_RULES = (Rule(".LT.", "<", True), Rule(".GT.", ">", True), Rule(".EQ.", "=", True))
 CAST_RULES = (
-    Rule(r"(?i)CAST\((.*?) AS\s+DECIMAL\(\d+,\d+\)\)", "CAST($1 AS DECIMAL(18,0))"),
-    Rule(r"(?i)CAST\((.*?) AS\s+VARCHAR\(\d+\)\)", "CAST($1 AS STRING)"),
-    Rule(r"(?i)CAST\((.*?) AS\s+INTEGER\)", "CAST($1 AS INT)"),
-    Rule(r"(?i)CAST\((.*?) AS\s+SMALLINT\)", "CAST($1 AS SMALLINT)"),
-    Rule(r"(?i)CAST\((.*?) AS\s+CHAR\(\d+\)\)", "CAST($1 AS STRING)"),
+    Rule(r"(?idU)CAST\((.*?) AS\s+DECIMAL\(\d+,\d+\)\)", "CAST($1 AS DECIMAL(18,0))"),
+    Rule(r"(?idU)CAST\((.*?) AS\s+VARCHAR\(\d+\)\)", "CAST($1 AS STRING)"),
+    Rule(r"(?idU)CAST\((.*?) AS\s+INTEGER\)", "CAST($1 AS INT)"),
+    Rule(r"(?idU)CAST\((.*?) AS\s+SMALLINT\)", "CAST($1 AS SMALLINT)"),
+    Rule(r"(?idU)CAST\((.*?) AS\s+CHAR\(\d+\)\)", "CAST($1 AS STRING)"),
 )
-CLOCK_RULES = (Rule(r"(?i)\bCURRENT_TIMESTAMP\(0\)\b", "CURRENT_TIMESTAMP"),)
+CLOCK_RULES = (Rule(r"(?iU)\bCURRENT_TIMESTAMP\(0\)\b", "CURRENT_TIMESTAMP"),)
 NOISE_RULES = (
-    Rule(r"(?im)^\s*SET\s+intcntr\s*=\s*intcntr\s*;", trim=True),
-    Rule(r"(?im)^\s*SET\s+strSTEP\s*=\s*'Step'\s*\|\|.*$", trim=True),
-    Rule(r"(?im)^\s*SET\s+ReturnCode\s*=\s*SQLSTATE\s*;", trim=True),
-    Rule(r"(?is)INSERT\s+INTO\s+DP_MEDW\.[\s\S]*?\);", trim=True),
-    Rule(r"(?is)UPDATE\s+DP_MEDW\.[\s\S]*?WHERE\s+spName\s*=\s*.*?;", trim=True),
+    Rule(r"(?imdU)^\s*SET\s+intcntr\s*=\s*intcntr\s*;", trim=True),
+    Rule(r"(?imdU)^\s*SET\s+strSTEP\s*=\s*'Step'\s*\|\|.*$", trim=True),
+    Rule(r"(?imdU)^\s*SET\s+ReturnCode\s*=\s*SQLSTATE\s*;", trim=True),
+    Rule(r"(?isU)INSERT\s+INTO\s+DP_MEDW\..*?\);", trim=True),
+    Rule(r"(?isU)UPDATE\s+DP_MEDW\..*?WHERE\s+spName\s*=\s*.*?;", trim=True),
     Rule(r"\n{3,}", trim=True),
 )
 NORMALIZE_RULES = COMMENT_RULES + KEYWORD_RULES + OPERATOR_RULES
 
-JOB_NAME = r"(?i)Env_JobName\s*=\s*'([^']+)'"
-DYNAMIC_CALL = r"(?im)^[ \t]*CALL[ \t]+EDW_Env\.sysexecsql\(:strSQLCmd\);"
-STATEMENT = r"(?is)SET\s+strSQLCmd\s*=\s*(.*?);"
+JOB_NAME = r"(?iU)Env_JobName\s*=\s*'([^']+)'"
+DYNAMIC_CALL = r"(?imd)^[ \t]*CALL[ \t]+EDW_Env\.sysexecsql\(:strSQLCmd\);"
+STATEMENT = r"(?isU)SET\s+strSQLCmd\s*=\s*(.*?);"
 LOG_MARKS = ("strStatusLog", "strCheckPointLog", "sqlCmd =", "sp_InsertQuery")
-LOG_TARGET = r"(?i)^\s*(INSERT\s+INTO|UPDATE)\s+DP_MEDW\."
+LOG_TARGET = r"(?iU)\A\s*(INSERT\s+INTO|UPDATE)\s+DP_MEDW\."
 # Variable of a script -> column of the environment table that holds its value.
 VARIABLES = {
     "strEnv": "Env_Name",
@@ -75,7 +76,7 @@ NO_SQL = "Skipped (No valid SQL)"
 
 def strip(c: Column) -> Column:
     """Remove white space, line breaks included, from both ends."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
 
 
 def apply_rules(c: str | Column, rules: Sequence[Rule]) -> Column:
