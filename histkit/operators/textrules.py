@@ -74,9 +74,16 @@ NO_MAPPING = "Skipped (No env mapping for JobName: "
 NO_SQL = "Skipped (No valid SQL)"
 
 
+# Fixed value: the characters that count as white space at the ends of a text.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(c: Column) -> Column:
     """Remove white space, line breaks included, from both ends."""
-    return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def apply_rules(c: str | Column, rules: Sequence[Rule]) -> Column:
@@ -117,15 +124,19 @@ def extract_statements(
 def evaluate_concat(expr: str | Column, variables: Mapping[str, Column]) -> Column:
     """Resolve ``'text' || variable || ...``: unquote the parts, put in values, join, undouble quotes."""
 
-    def part(x: Column) -> Column:
-        x = strip(x)
+    def unquote(x: Column) -> Column:
         quoted = (x.startswith("'") & x.endswith("'")) | (x.startswith('"') & x.endswith('"'))
-        x = F.when(quoted, F.substring(x, F.lit(2), F.greatest(F.length(x) - 2, F.lit(0)))).otherwise(x)
-        for name, value in variables.items():
-            x = F.when(F.lower(x) == name.lower(), F.coalesce(value, F.lit(""))).otherwise(x)
-        return x
+        return F.when(quoted, F.substring(x, F.lit(2), F.greatest(F.length(x) - 2, F.lit(0)))).otherwise(x)
+
+    def put(name: str, value: Column):
+        return lambda x: F.when(F.lower(x) == name.lower(), F.coalesce(value, F.lit(""))).otherwise(x)
 
-    parts = F.transform(F.split(col_of(expr), r"\|\|", -1), part)
+    # One pass over the few parts per step: nesting the steps instead would evaluate the
+    # inner ones again for every use.
+    parts = F.transform(F.split(col_of(expr), r"\|\|", -1), strip)
+    parts = F.transform(parts, unquote)
+    for name, value in variables.items():
+        parts = F.transform(parts, put(name, value))
     return F.replace(F.array_join(parts, ""), F.lit("''"), F.lit("'"))
 
 

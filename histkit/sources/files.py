@@ -65,9 +65,13 @@ def read_hour(spark: SparkSession, base: str, ts: datetime | str, schema: T.Stru
 
 
 def write_hour_partitions(df: DataFrame, path: str, ts: str, mode: str = "append") -> None:
-    """Write events partitioned by date and zero-padded hour, the layout incremental reads prune on."""
-    hours = {"date": F.to_date(ts), "hour": F.date_format(ts, "HH")}
-    df.withColumns(hours).write.mode(mode).partitionBy("date", "hour").parquet(path)
+    """Write events partitioned by date and zero-padded hour, the layout incremental reads prune on.
+
+    Rows are brought together by hour to avoid one small file per task and hour; the
+    rebalance hint lets Spark split an hour that is too big for one file.
+    """
+    rows = df.withColumns({"date": F.to_date(ts), "hour": F.date_format(ts, "HH")})
+    rows.hint("rebalance", "date", "hour").write.mode(mode).partitionBy("date", "hour").parquet(path)
 
 
 def read_hour_partitions(spark: SparkSession, path: str) -> DataFrame:
