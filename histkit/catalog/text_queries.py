@@ -97,8 +97,9 @@ def _noise(x: str) -> str:
 
 
 NORMAL_SQL = f"with {SCRIPTS_SQL}, normal as (select doc_id, {_norm('text')} as text from scripts)"
+JOB_SQL = STRIP.format(r"regexp_extract(text, 'Env_JobName\s*=\s*''([^'']+)''', 1, 'i')")
 PREP_SQL = rf"""{NORMAL_SQL}, {ENV_SQL},
-    prep as (select doc_id, nullif({STRIP.format("regexp_extract(text, 'Env_JobName\s*=\s*''([^'']+)''', 1, 'i')")}, '') as job_name,
+    prep as (select doc_id, nullif({JOB_SQL}, '') as job_name,
                     regexp_matches(text, '(?m)^[ \t]*CALL[ \t]+EDW_Env\.sysexecsql\(:strSQLCmd\);', 'i') as has_call,
                     {_noise('text')} as text from normal),
     raw as (select doc_id, job_name, has_call, env.job is not null as mapped, src, tgt, env_name, job,

@@ -128,15 +128,19 @@ def evaluate_concat(expr: str | Column, variables: Mapping[str, Column]) -> Colu
         quoted = (x.startswith("'") & x.endswith("'")) | (x.startswith('"') & x.endswith('"'))
         return F.when(quoted, F.substring(x, F.lit(2), F.greatest(F.length(x) - 2, F.lit(0)))).otherwise(x)
 
-    def put(name: str, value: Column):
-        return lambda x: F.when(F.lower(x) == name.lower(), F.coalesce(value, F.lit(""))).otherwise(x)
+    def fill(x: Column) -> Column:
+        # Long literals cannot be variables; the size test spares lower-casing them.
+        chain = F.when(F.octet_length(x) > 3 * max(map(len, variables)), x)
+        for name, value in variables.items():
+            chain = chain.when(F.lower(x) == name.lower(), F.coalesce(value, F.lit("")))
+        return chain.otherwise(x)
 
     # One pass over the few parts per step: nesting the steps instead would evaluate the
     # inner ones again for every use.
     parts = F.transform(F.split(col_of(expr), r"\|\|", -1), strip)
     parts = F.transform(parts, unquote)
-    for name, value in variables.items():
-        parts = F.transform(parts, put(name, value))
+    if variables:
+        parts = F.transform(parts, fill)
     return F.replace(F.array_join(parts, ""), F.lit("''"), F.lit("'"))
 
 
@@ -148,17 +152,35 @@ def active_environments(env: DataFrame, order: Order = ()) -> DataFrame:
     return top_rank(live, ["_job"], list(order) or [(c, "asc") for c in env.columns])
 
 
+def _environment_values(env: DataFrame) -> DataFrame:
+    """Final variable values per job. A value that names a later variable takes that one's value."""
+    side = active_environments(env).withColumns(
+        {f"_env_{v}": F.coalesce(F.col(c), F.lit("")) for v, c in VARIABLES.items()}
+    )
+    names = list(VARIABLES)
+    for i in reversed(range(len(names) - 1)):
+        mine = F.col(f"_env_{names[i]}")
+        later = [(F.lower(mine) == n.lower(), F.col(f"_env_{n}")) for n in names[i + 1 :]]
+        chain = F.when(*later[0])
+        for cond, value in later[1:]:
+            chain = chain.when(cond, value)
+        side = side.withColumn(f"_env_{names[i]}", chain.otherwise(mine))
+    return side.select("_job", F.lit(True).alias("_mapped"), *[f"_env_{n}" for n in names])
+
+
+_VALUES = {v: f"_env_{v}" for v in VARIABLES}
+
+
 def substitute_vars(df: DataFrame, env: DataFrame, expr: str = "statement", job: str = "job_name", out: str | None = None) -> DataFrame:
     """Look up each row's environment by job name and resolve the expression with its values.
 
     The environment table is small and left to Spark's own size check for broadcasting.
     """
-    side = active_environments(env).select("_job", *[F.col(c).alias(f"_env_{c}") for c in set(VARIABLES.values())])
-    rows = df.withColumn("_job", F.lower(job)).join(side, "_job", "left")
-    values = {v: F.col(f"_env_{c}") for v, c in VARIABLES.items()}
+    rows = df.withColumn("_job", F.lower(job)).join(_environment_values(env), "_job", "left")
+    values = {v: F.col(c) for v, c in _VALUES.items()}
     rows = rows.withColumn(out or expr, evaluate_concat(expr, values))
     keep = [*df.columns, *([out] if out and out not in df.columns else [])]
-    return rows.select(*keep, F.col("_env_Env_JobName").isNotNull().alias("has_environment"))
+    return rows.select(*keep, F.col("_mapped").isNotNull().alias("has_environment"))
 
 
 def is_log_statement(expr: str | Column) -> Column:
@@ -196,23 +218,24 @@ def route_status(scripts: DataFrame, env: DataFrame, id_col: str = "doc_id", col
     Statements are tested inside the row (higher-order functions), so no join back is needed.
     """
     rows = _prepared(scripts, col)
-    side = active_environments(env).select("_job", *[F.col(c).alias(f"_env_{c}") for c in set(VARIABLES.values())])
-    rows = rows.withColumn("_job", F.lower("job_name")).join(side, "_job", "left")
-    values = {v: F.col(f"_env_{c}") for v, c in VARIABLES.items()}
+    rows = rows.withColumn("_job", F.lower("job_name")).join(_environment_values(env), "_job", "left")
+    values = {v: F.col(c) for v, c in _VALUES.items()}
 
     def usable(x: Column) -> Column:
         return ~is_log_statement(x) & ~F.regexp_like(evaluate_concat(x, values), F.lit(LOG_TARGET))
 
     found = F.regexp_extract_all(F.col(col), F.lit(STATEMENT), F.lit(1))
-    count = F.size(F.filter(found, usable))
+    # A column of its own, so that the count is not computed again for the status.
+    rows = rows.withColumn("_n", F.size(F.filter(found, usable)))
+    count = F.col("_n")
     status = (
         F.when(F.col("job_name").isNull(), F.lit(NO_JOB))
         .when(~F.col("has_call"), F.lit(NO_CALL))
-        .when(F.col("_env_Env_JobName").isNull(), F.concat(F.lit(NO_MAPPING), F.col("job_name"), F.lit(")")))
+        .when(F.col("_mapped").isNull(), F.concat(F.lit(NO_MAPPING), F.col("job_name"), F.lit(")")))
         .when(count == 0, F.lit(NO_SQL))
         .otherwise(F.lit(SUCCESS))
     )
-    rows = rows.select(id_col, "job_name", status.alias("status"), count.alias("_n"))
+    rows = rows.select(id_col, "job_name", status.alias("status"), "_n")
     return rows.select(
         id_col, "job_name", "status", F.when(F.col("status") == SUCCESS, F.col("_n")).otherwise(0).alias("statement_count")
     )

@@ -149,7 +149,9 @@ def write_snapshot(df: DataFrame, base: str, version: int) -> None:
     df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/version={int(version)}")
 
 
-def read_snapshot(spark: SparkSession, base: str) -> DataFrame:
-    """The newest committed version. Unfinished writes are invisible until Spark commits them."""
+def read_snapshot(spark: SparkSession, base: str, before: int | None = None) -> DataFrame:
+    """The newest committed version (older than ``before``). Unfinished writes are invisible."""
     versions = spark.read.parquet(base)
+    if before is not None:
+        versions = versions.where(F.col("version") < before)
     return versions.where(F.col("version") == versions.agg(F.max("version")).scalar()).drop("version")
