@@ -19,7 +19,7 @@ from histkit.functions.hashing import comparable
 from histkit.operators.scd2 import DEFAULT_COLUMNS, Scd2Columns
 
 ACTION = "_action"
-_SALT, _COPIES, _IN_T, _IN_S = "_salt", "_copies", "_in_target", "_in_source"
+_SALT, _COPIES, _COPY, _IN_T, _IN_S = "_salt", "_copies", "_copy", "_in_target", "_in_source"
 
 
 @dataclass(frozen=True)
@@ -82,12 +82,15 @@ def merge(
 ) -> DataFrame:
     """Apply the clauses in order; per row the first one of its kind whose condition holds wins.
 
-    Null keys never match. Two source rows for one target row that would be changed are an
-    error, raised when the row is computed; ``source_unique`` skips that check.
+    Null keys never match. Several source rows for one target row are an error, raised when
+    the row is computed, as soon as one of them would change it; if none would, the target
+    row is kept once. ``source_unique`` promises one source row per key and skips the check.
     """
     s = source.withColumns({_SALT: _salted(source, keys), _IN_S: F.lit(True)})
     if not source_unique:
-        s = s.withColumn(_COPIES, F.count(F.lit(1)).over(Window.partitionBy(*keys, _SALT)))
+        over = Window.partitionBy(*keys, _SALT).orderBy(_SALT)
+        whole = over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        s = s.withColumns({_COPIES: F.count(F.lit(1)).over(whole), _COPY: F.row_number().over(over)})
     t = target.withColumns({_SALT: _salted(target, keys), _IN_T: F.lit(True)})
     t, s = t.alias("t"), s.alias("s")
     on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys] + [F.col(f"t.{_SALT}") == F.col(f"s.{_SALT}")]
@@ -129,8 +132,10 @@ def merge(
     action = F.when(in_t, F.lit("keep"))
     for i, c in enumerate(clauses):
         action = F.when(pick == i, F.lit(c.action)).otherwise(action)
-    # Source rows that no insert clause takes do not reach the target.
-    return rows.where(in_t | (pick >= 0)).select(*out, action.alias(ACTION))
+    # Source rows that no insert clause takes do not reach the target, and a target row met
+    # by several source rows that leave it alone stays one row.
+    once = in_t if source_unique else in_t & (F.coalesce(F.col(f"s.{_COPY}"), F.lit(1)) == 1)
+    return rows.where(once | (pick >= 0)).select(*out, action.alias(ACTION))
 
 
 def merged_rows(merged: DataFrame) -> DataFrame:
