@@ -12,6 +12,7 @@ from histkit.functions.times import local_time
 from histkit.operators import events as ev
 from histkit.operators import merge as mg
 from histkit.operators import scd2
+from histkit.sources.files import materialize
 
 AS_OF = "2024-02-01 00:00:00"
 HIGH_SQL = "timestamp '9999-12-31 00:00:00'"
@@ -299,7 +300,8 @@ def scd2_full(spark, sf):
 def scd2_every_event(spark, sf):
     """No reduction to hours: a key may be of any size, so the windows are cut by hour."""
     spec = job(Interval.EVENT)
-    return flat_history(scd2.scd2_pipeline(crud_events(spark, sf), None, spec, AS_OF, project_user))
+    rows = scd2.scd2_pipeline(crud_events(spark, sf), None, spec, AS_OF, project_user, store=materialize)
+    return flat_history(rows)
 
 
 def two_loads(spark, sf):
@@ -307,6 +309,7 @@ def two_loads(spark, sf):
     log = crud_events(spark, sf)
     cut = F.lit("2024-01-16 05:00:00").cast("timestamp_ntz")
     first = scd2.scd2_pipeline(log.where(F.col("ts") < cut), None, job(), AS_OF, project_user)
+    first = materialize(first, "target")
     delta = scd2.scd2_pipeline(log.where(F.col("ts") >= cut), first, job(), AS_OF, project_user)
     return first, delta
 

@@ -13,6 +13,7 @@ from histkit.operators import events as ev
 from histkit.operators import joins as jn
 from histkit.operators import scd2
 from histkit.plans import device, vehicle
+from histkit.sources.files import materialize
 from histkit.sources.watermark import newer_than
 
 
@@ -483,6 +484,7 @@ def pit_join(spark, sf):
         "user_id", "event_id", "k", F.col("at").alias("valid_from_est_timestamp")
     )
     history = scd2.build_validity(signups, ["user_id"], slice_by=F.to_date("valid_from_est_timestamp"))
+    history = materialize(history, "history")
     spine = log.select("event_id", "user_id", "event_type", "at")
     return jn.pit_join(
         spine,

@@ -23,6 +23,7 @@ from histkit.operators import joins as jn
 from histkit.operators import merge as mg
 from histkit.operators import scd2
 from histkit.operators.windows import next_value
+from histkit.sources.files import materialize
 
 CUT = "2024-01-16 00:00:00"
 LATEST_USER = f"""select user_id, event_type, value, {ENVELOPE_SQL} as envelope_type from events
@@ -98,7 +99,7 @@ def merge_scd2(spark, sf):
 def merge_scd2_replay(spark, sf):
     """Loading the same delta a second time changes nothing."""
     first, delta = two_loads(spark, sf)
-    once = mg.merged_rows(mg.merge_scd2(first, delta, ["user_id"]))
+    once = materialize(mg.merged_rows(mg.merge_scd2(first, delta, ["user_id"])), "target")
     cut = F.lit("2024-01-16 05:00:00").cast("timestamp_ntz")
     again = scd2.scd2_pipeline(
         crud_events(spark, sf).where(F.col("ts") >= cut), once, job(), AS_OF, project_user
@@ -285,7 +286,7 @@ def _fact_and_stage(spark, sf):
     stage = rows.where(~early).withColumns(
         {"rec_exp_ts": F.lit("2999-12-31").cast("date"), "is_latest_rec_ind": F.lit("Y")}
     )
-    return fact, stage
+    return materialize(fact, "fact"), stage
 
 
 _MATCH = {"trial_id": "trial_id", "ftre_cd": "ftre_cd"}
@@ -302,7 +303,7 @@ def fact_expire_insert(spark, sf):
 def fact_expire_insert_twice(spark, sf):
     """Loading the same stage again neither closes nor adds rows."""
     fact, stage = _fact_and_stage(spark, sf)
-    once = mg.merged_rows(facts.expire_and_insert(fact, stage, _MATCH, _ROW))
+    once = materialize(mg.merged_rows(facts.expire_and_insert(fact, stage, _MATCH, _ROW)), "fact")
     return mg.merged_rows(facts.expire_and_insert(once, stage, _MATCH, _ROW))
 
 

@@ -47,7 +47,7 @@ def pit_join(
     )
     rows = spine.withColumn("_kind", F.lit(1)).unionByName(past, allowMissingColumns=True)
     order = [at, "_kind", "_to"]
-    rows = forward_fill(rows, keys, order, {"_last": F.col("_h")}, slice_by)
+    rows = forward_fill(rows, keys, order, {"_last": "_h"}, slice_by)
     inside = F.col(at) <= F.col("_last._to") if closed else F.col(at) < F.col("_last._to")
     valid = inside | F.col("_last._gone")
     for k in keys:
@@ -78,8 +78,8 @@ def range_join(
     def bucket(c: Column) -> Column:
         return F.floor(F.datediff(c.cast("date"), day0) / F.lit(width_days)).cast("int")
 
-    span = left.agg(F.min(bucket(F.col(at))).alias("a"), F.max(bucket(F.col(at))).alias("b"))
-    first, last = span.select("a").scalar(), span.select("b").scalar()
+    ends = F.struct(F.min(bucket(F.col(at))).alias("first"), F.max(bucket(F.col(at))).alias("last"))
+    span = left.agg(ends).scalar()
     versions = right.select(
         *[F.col(r).alias(f"_k_{l}") for l, r in keys.items()],
         F.col(lo).alias("_lo"),
@@ -87,7 +87,10 @@ def range_join(
         *[F.col(c).alias(f"_o_{o}") for o, c in take.items()],
     )
     versions = versions.withColumns(
-        {"_b0": F.greatest(bucket(F.col("_lo")), first), "_b1": F.least(bucket(F.col("_hi")), last)}
+        {
+            "_b0": F.greatest(bucket(F.col("_lo")), span["first"]),
+            "_b1": F.least(bucket(F.col("_hi")), span["last"]),
+        }
     ).where(F.col("_b0") <= F.col("_b1"))
     versions = versions.withColumn("_bucket", F.explode(F.sequence("_b0", "_b1"))).drop("_b0", "_b1")
     rows = left.withColumn("_left_bucket", bucket(F.col(at)))
@@ -165,19 +168,26 @@ def not_in(df: DataFrame, other: DataFrame, key: str, other_key: str | None = No
 
     SQL's ``NOT IN`` returns nothing as soon as the other side holds one null.
     """
-    keys = other.where(F.col(other_key or key).isNotNull()).select(F.col(other_key or key).alias(key))
+    keys = other.where(F.col(other_key or key).isNotNull()).select(F.col(other_key or key).alias(key)).distinct()
     return df.where(F.col(key).isNotNull()).join(keys, key, "left_anti")
 
 
+def _key_join(df: DataFrame, other: DataFrame, on: Mapping[str, str] | Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join against the distinct keys of the other side.
+
+    Distinct combines before the shuffle, so a key that fills a third of the other side
+    arrives once per map task.
+    """
+    pairs = on if isinstance(on, Mapping) else {c: c for c in on}
+    side = other.select(*[F.col(r).alias(f"_k{i}") for i, r in enumerate(pairs.values())]).distinct()
+    return df.join(side, [F.col(l) == F.col(f"_k{i}") for i, l in enumerate(pairs)], how)
+
+
 def missing_keys(df: DataFrame, other: DataFrame, on: Mapping[str, str] | Sequence[str]) -> DataFrame:
     """``NOT EXISTS``: rows without a partner; rows with a null key are kept."""
-    pairs = on if isinstance(on, Mapping) else {c: c for c in on}
-    side = other.select(*[F.col(r).alias(f"_k{i}") for i, r in enumerate(pairs.values())])
-    return df.join(side, [F.col(l) == F.col(f"_k{i}") for i, l in enumerate(pairs)], "left_anti")
+    return _key_join(df, other, on, "left_anti")
 
 
 def present_keys(df: DataFrame, other: DataFrame, on: Mapping[str, str] | Sequence[str]) -> DataFrame:
     """``EXISTS``."""
-    pairs = on if isinstance(on, Mapping) else {c: c for c in on}
-    side = other.select(*[F.col(r).alias(f"_k{i}") for i, r in enumerate(pairs.values())])
-    return df.join(side, [F.col(l) == F.col(f"_k{i}") for i, l in enumerate(pairs)], "left_semi")
+    return _key_join(df, other, on, "left_semi")

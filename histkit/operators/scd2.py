@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -156,7 +156,7 @@ def drop_sequential_unchanged(
         gone = F.coalesce(F.col(deleted), F.lit(False))
         parts.append(gone.alias("d"))
     state = F.struct(*parts)
-    rows = previous_value(df.withColumn("_state", state), keys, order, F.col("_state"), "_before", slice_by)
+    rows = previous_value(df.withColumn("_state", state), keys, order, "_state", "_before", slice_by)
     changed = F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.col("_state"))
     return rows.where(changed | gone).drop("_state", "_before")
 
@@ -224,7 +224,7 @@ def build_validity(
         df.drop(cols.valid_to, cols.is_current),
         keys,
         order or [cols.valid_from],
-        F.col(cols.valid_from),
+        cols.valid_from,
         cols.valid_to,
         slice_by,
     )
@@ -257,11 +257,19 @@ def scd2_changes(
     deleted: str | None = None,
     cols: Scd2Columns = DEFAULT_COLUMNS,
     slice_by: str | Column | None = None,
+    store: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
-    """Projected events -> rows ready to merge into (or to replace) a type-2 target."""
+    """Projected events -> rows ready to merge into (or to replace) a type-2 target.
+
+    Cut windows read their input twice. ``store`` (such as
+    :func:`histkit.sources.files.materialize`) writes that input once instead of having it
+    computed again; it is only used together with ``slice_by``.
+    """
     by = list(order or [cols.valid_from])
+    keep = store if store is not None and slice_by is not None else lambda df, name: df
     rows = events if target is None else consolidate(events, target, keys, full_reload, cols)
-    rows = drop_sequential_unchanged(rows, keys, by, None, exclude, deleted, slice_by)
+    rows = keep(rows, "events")
+    rows = keep(drop_sequential_unchanged(rows, keys, by, None, exclude, deleted, slice_by), "changes")
     rows = build_validity(rows, keys, by, cols, slice_by)
     return apply_deletes(rows, deleted, cols) if deleted else rows
 
@@ -275,6 +283,7 @@ def scd2_pipeline(
     valid_from_ts: str | None = None,
     source_ts: tuple[str, str] | None = None,
     cols: Scd2Columns = DEFAULT_COLUMNS,
+    store: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """From raw events of all verbs to rows for the target table.
 
@@ -308,6 +317,7 @@ def scd2_pipeline(
         cols.deleted,
         cols,
         slice_by,
+        store,
     )
 
 

@@ -14,6 +14,7 @@ slice of a key, a number bounded by the length of the history and not by the dat
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,67 +24,73 @@ from histkit.functions.times import col_of
 _SLICE, _SEED = "_slice", "_seed"
 
 
+def _held(values: Mapping[str, str | Column]) -> dict[str, str]:
+    """Output name -> column that carries its value; expressions get a hidden column."""
+    return {n: v if isinstance(v, str) else f"_v_{n}" for n, v in values.items()}
+
+
 def _with_borders(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    values: Mapping[str, Column],
+    values: Mapping[str, str | Column],
     slice_by: str | Column,
     mode: str,
 ) -> DataFrame:
     """The rows plus one border row per (key, slice) that carries a value in from its neighbour."""
-    held = {f"_v_{n}": v for n, v in values.items()}
-    base = df.withColumns({_SLICE: col_of(slice_by), **held}).withColumn(_SEED, F.lit(0))
+    held = _held(values)
+    hidden = {held[n]: v for n, v in values.items() if not isinstance(v, str)}
+    base = df.withColumns({_SLICE: col_of(slice_by), _SEED: F.lit(0), **hidden})
     position = F.struct(*[F.col(c) for c in order])
 
-    def edge(name: str) -> Column:
-        boxed = F.struct(F.col(name).alias("v"))
+    def edge(column: str) -> Column:
+        boxed = F.struct(F.col(column).alias("v"))
         if mode == "lead":
             return F.min_by(boxed, position)
         if mode == "lag":
             return F.max_by(boxed, position)
-        known = F.col(name).isNotNull()
+        known = F.col(column).isNotNull()
         return F.max_by(F.when(known, boxed), F.when(known, position))
 
-    edges = base.groupBy(*keys, _SLICE).agg(*[edge(n).alias(n) for n in held])
+    edges = base.groupBy(*keys, _SLICE).agg(*[edge(c).alias(f"_e_{n}") for n, c in held.items()])
     over = Window.partitionBy(*keys).orderBy(_SLICE)
-    if mode == "lead":
-        moved = [F.lead(n).over(over).alias(n) for n in held]
-    elif mode == "lag":
-        moved = [F.lag(n).over(over).alias(n) for n in held]
-    else:
-        before = over.rowsBetween(Window.unboundedPreceding, -1)
-        moved = [F.last(n, ignorenulls=True).over(before).alias(n) for n in held]
-    some = F.lit(False)
-    for n in held:
-        some = some | F.col(n).isNotNull()
-    seeds = (
-        edges.select(*keys, _SLICE, *moved)
-        .where(some)
-        .select(*keys, _SLICE, *[F.col(n)["v"].alias(n) for n in held])
-        .withColumn(_SEED, F.lit(1 if mode == "lead" else -1))
+    before = over.rowsBetween(Window.unboundedPreceding, -1)
+    move = {
+        "lead": lambda c: F.lead(c).over(over),
+        "lag": lambda c: F.lag(c).over(over),
+        "fill": lambda c: F.last(c, ignorenulls=True).over(before),
+    }[mode]
+    moved = edges.select(*keys, _SLICE, *[move(f"_e_{n}").alias(f"_e_{n}") for n in held])
+    some = reduce(lambda a, b: a | b, [F.col(f"_e_{n}").isNotNull() for n in held])
+    seeds = moved.where(some).select(
+        *keys,
+        _SLICE,
+        F.lit(1 if mode == "lead" else -1).alias(_SEED),
+        *[F.col(f"_e_{n}")["v"].alias(c) for n, c in held.items()],
     )
     return base.unionByName(seeds, allowMissingColumns=True)
 
 
-def _drop_borders(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
-    return df.where(F.col(_SEED) == 0).drop(_SLICE, _SEED, *[f"_v_{n}" for n in values])
+def _drop_borders(df: DataFrame, values: Mapping[str, str | Column]) -> DataFrame:
+    hidden = [f"_v_{n}" for n, v in values.items() if not isinstance(v, str)]
+    return df.where(F.col(_SEED) == 0).drop(_SLICE, _SEED, *hidden)
 
 
 def _neighbour(df, keys, order, value, out, slice_by, fn, mode):
     if slice_by is None:
         over = Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in order])
-        return df.withColumn(out, fn(value).over(over))
-    rows = _with_borders(df, keys, order, {out: value}, slice_by, mode)
+        return df.withColumn(out, fn(col_of(value)).over(over))
+    values = {out: value}
+    rows = _with_borders(df, keys, order, values, slice_by, mode)
     over = Window.partitionBy(*keys, _SLICE).orderBy(_SEED, *[F.col(c).asc() for c in order])
-    return _drop_borders(rows.withColumn(out, fn(F.col(f"_v_{out}")).over(over)), {out: value})
+    return _drop_borders(rows.withColumn(out, fn(F.col(_held(values)[out])).over(over)), values)
 
 
 def previous_value(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    value: Column,
+    value: str | Column,
     out: str,
     slice_by: str | Column | None = None,
 ) -> DataFrame:
@@ -95,7 +102,7 @@ def next_value(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    value: Column,
+    value: str | Column,
     out: str,
     slice_by: str | Column | None = None,
 ) -> DataFrame:
@@ -107,7 +114,7 @@ def forward_fill(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    values: Mapping[str, Column],
+    values: Mapping[str, str | Column],
     slice_by: str | Column | None = None,
 ) -> DataFrame:
     """Last non-null value at or before each row, per key."""
@@ -115,9 +122,9 @@ def forward_fill(
     if slice_by is None:
         over = Window.partitionBy(*keys).orderBy(*asc)
         over = over.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({n: F.last(v, ignorenulls=True).over(over) for n, v in values.items()})
+        return df.withColumns({n: F.last(col_of(v), ignorenulls=True).over(over) for n, v in values.items()})
     rows = _with_borders(df, keys, order, values, slice_by, "fill")
     over = Window.partitionBy(*keys, _SLICE).orderBy(_SEED, *asc)
     over = over.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = {n: F.last(f"_v_{n}", ignorenulls=True).over(over) for n in values}
+    filled = {n: F.last(c, ignorenulls=True).over(over) for n, c in _held(values).items()}
     return _drop_borders(rows.withColumns(filled), values)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histkit.functions.nested import classify, first_element, first_match, null_unless
@@ -39,20 +39,15 @@ def service_status_rules_by_delivery(state: Column, accepted: Column, trial: Col
     ]
 
 
-def _newest_trials(subs: DataFrame) -> DataFrame:
-    """Subscriptions that start last on their device. Ties are kept: later joins decide them."""
-    over = Window.partitionBy("device_id").orderBy(F.desc("start_est_timestamp"))
-    return subs.withColumn("_r", F.rank().over(over)).where(F.col("_r") == 1).drop("_r")
-
-
 def join_device_sources(
     devices: DataFrame, vehicles: DataFrame, profiles: DataFrame, subscriptions: DataFrame
 ) -> DataFrame:
     """Each device with its current vehicle, both profiles, and trial, linked and current subscription.
 
     Of several candidates per device the newest trial, then the newest current subscription
-    counts; remaining ties go to the smallest ids. Sides are cut to the rows that can still
-    win before they are joined, so no join multiplies rows of a busy device or identity.
+    counts; remaining ties go to the smallest ids. That rank depends on subscriptions only,
+    so trials are completed and reduced to the best one per device first, and every lookup
+    side to its best row per key. No join then multiplies rows of a busy device or identity.
     """
     subs = latest_snapshot(subscriptions, "snapshot_est_date").select(
         "subscription_id",
@@ -94,6 +89,7 @@ def join_device_sources(
         }
 
     trial = {f"_trial_{c}": c for c in subs.columns if c != "device_id"}
+    trials = subs.where(F.col("device_id").isNotNull()).select("device_id", *[F.col(c).alias(o) for o, c in trial.items()])
     linked = {f"_linked_{c}": c for c in ("state", "identity_id", "create_est_timestamp", "update_est_timestamp")}
     current = {
         f"_current_{c}": c
@@ -101,14 +97,9 @@ def join_device_sources(
     }
     first_profile = [("profile_id", "asc")]
     newest = [("start_est_timestamp", "desc"), ("subscription_id", "asc")]
-    rows = enrich(
-        base,
+    trials = enrich(
+        trials,
         [
-            # A filter on the vehicle after the left join keeps matched devices only: an inner join.
-            Lookup(vehicles, {"_vehicle_id": "vehicle_id"}, vehicle_columns, F.col("is_current"), how="inner"),
-            Lookup(profiles, {"device_id": "device_id"}, profile("demo"), best=first_profile),
-            Lookup(profiles, {"oem_owner_id": "oem_profile_id"}, profile("oem_owner"), best=first_profile),
-            Lookup(_newest_trials(subs), {"device_id": "device_id"}, trial),
             Lookup(subs, {"_trial_linked_to_subscription_id": "subscription_id"}, linked),
             Lookup(subs, {"_linked_identity_id": "identity_id"}, current, best=newest),
         ],
@@ -119,7 +110,19 @@ def join_device_sources(
         ("_trial_subscription_id", "asc"),
         ("_current_subscription_id", "asc"),
     ]
-    return top_rank(rows, ["device_id"], order)
+    trials = top_rank(trials, ["device_id"], order)
+    completed = {c: c for c in trials.columns if c != "device_id"}
+    rows = enrich(
+        base,
+        [
+            # A filter on the vehicle after the left join keeps matched devices only: an inner join.
+            Lookup(vehicles, {"_vehicle_id": "vehicle_id"}, vehicle_columns, F.col("is_current"), how="inner"),
+            Lookup(profiles, {"device_id": "device_id"}, profile("demo"), best=first_profile),
+            Lookup(profiles, {"oem_owner_id": "oem_profile_id"}, profile("oem_owner"), best=first_profile),
+            Lookup(trials, {"device_id": "device_id"}, completed),
+        ],
+    )
+    return top_rank(rows, ["device_id"], [*order, ("vehicle_id", "asc")])
 
 
 def device_rows(joined: DataFrame, status_rules=service_status_rules, high: str = "9999-12-31") -> DataFrame:

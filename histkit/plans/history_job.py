@@ -12,7 +12,7 @@ from histkit.functions.times import local_time, timestamp_literal
 from histkit.operators import events as ev
 from histkit.operators.merge import merge_scd2_current, merged_rows
 from histkit.operators.scd2 import scd2_pipeline
-from histkit.sources.files import read_snapshot, read_tables, write_snapshot
+from histkit.sources.files import materialize, read_snapshot, read_tables, write_snapshot
 from histkit.sources.watermark import advance_watermark, read_watermark
 
 
@@ -57,6 +57,7 @@ def run_history_job(
     newest earlier version. The watermark moves only after the target was written.
     """
     base = spec.write.to_table
+    pipeline.setdefault("store", materialize)
     if spec.full_reload or first_load:
         rows = scd2_pipeline(events, None, spec, as_of, project, **pipeline)
     else:
