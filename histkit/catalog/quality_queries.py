@@ -78,6 +78,32 @@ def history_sorted(spark, sf):
     return table(spark, sf, "events").select("user_id", "ts", "event_id").orderBy("user_id", "ts", "event_id")
 
 
+@query(
+    "current_rows",
+    """select c_custkey, 'flag' as how from customer where c_acctbal > 0
+       union all select c_custkey, 'latest' from customer where c_nationkey < 12
+       union all select o_orderkey, 'expiry' from orders where o_orderstatus = 'O'""",
+)
+def current_rows(spark, sf):
+    """Open versions, found in each of the three ways tables mark them."""
+    customer = table(spark, sf, "customer").select(
+        "c_custkey",
+        (F.col("c_acctbal") > 0).alias("is_current"),
+        F.when(F.col("c_nationkey") < 12, "Y").otherwise("N").alias("latest"),
+    )
+    open_end = F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("c_custkey"),
+        F.when(F.col("o_orderstatus") == "O", open_end).otherwise(F.col("o_orderdate")).alias("exp"),
+    )
+    found = {
+        "flag": ev.current_rows(customer),
+        "latest": ev.current_rows(customer, latest="latest"),
+        "expiry": ev.current_rows(orders, expiry="exp"),
+    }
+    return ev.union_all([df.select("c_custkey", F.lit(how).alias("how")) for how, df in found.items()])
+
+
 @query("loaded_watermark", "select max(o_orderdate) as processTimestamp from orders")
 def loaded_watermark(spark, sf):
     return watermark.loaded_watermark(table(spark, sf, "orders"), "o_orderdate")

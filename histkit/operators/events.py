@@ -136,6 +136,19 @@ def with_delete_flag(
     return df.withColumn(out, delete_flag(type_col, pattern))
 
 
+def current_rows(
+    df: DataFrame,
+    flag: str | None = "is_current",
+    expiry: str | None = None,
+    latest: str | None = None,
+    high: str = "9999-12-31",
+) -> DataFrame:
+    """Open versions, marked by a flag, by an open-ended expiry date, or by ``Y``."""
+    if expiry is not None:
+        return df.where(F.col(expiry).cast("date") == F.lit(high).cast("date"))
+    return df.where(F.col(latest) == "Y") if latest is not None else df.where(F.col(flag))
+
+
 def project(df: DataFrame, mapping: Mapping[str, str | Column]) -> DataFrame:
     """Select and rename: output name -> input column or expression."""
     return df.select(*[col_of(c).alias(out) for out, c in mapping.items()])

@@ -261,7 +261,7 @@ def identity_history(timeline: DataFrame, person: DataFrame, labels: Labels = DE
         is_class["legacy"], F.col("legacy_individual_id")
     )
     return rows.select(
-        F.col("identity_id").alias("unified_identity_id"),
+        _key("identity_id").alias("unified_identity_id"),
         F.lit(labels.person).alias("source"),
         "identity_id",
         F.lit(None).cast(person.schema["primary_legacy_account_id"].dataType).alias("legacy_account_id"),

@@ -12,6 +12,7 @@ from histkit.functions.nested import oneof_value, strip_tokens
 from histkit.functions.times import DEFAULT_ZONE, column_type, local_time, timestamp_literal
 from histkit.operators import events as ev
 from histkit.operators.events import union_all
+from histkit.operators.quality import coverage_gap, duplicate_keys
 from histkit.operators.resolve import identity_history, legacy_account_history, resolve_persons
 from histkit.operators.scd2 import scd_stage
 from histkit.operators.timeline import DEFAULT_LABELS, Labels, unified_timeline
@@ -195,3 +196,26 @@ def full_history(
     return union_all(
         [identity_history(line, people, labels), legacy_account_history(devices, individuals, people, labels)]
     )
+
+
+def validation_report(history: DataFrame, person: DataFrame, devices: DataFrame) -> DataFrame:
+    """One row per check with the number of keys or rows that fail it."""
+    legacy = history.where(F.col("source") == "legacy")
+    checks = {
+        "identity and start are unique": duplicate_keys(
+            history.where(F.col("identity_id").isNotNull()), ["identity_id", "valid_from_est_timestamp"]
+        ),
+        "legacy accounts are unique": duplicate_keys(legacy, ["legacy_account_id"]),
+        "legacy accounts are covered": coverage_gap(
+            devices.where(F.col("subscription_id").isNotNull()), legacy, {"account_id": "legacy_account_id"}
+        ),
+        "individuals are unique persons": duplicate_keys(
+            person.where(F.col("individual_id").isNotNull()), ["individual_id"]
+        ),
+        "every history row has a person": history.where(F.col("person_id").isNull()),
+    }
+    counts = [
+        rows.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("check_name"), "failures")
+        for name, rows in checks.items()
+    ]
+    return union_all(counts)
