@@ -18,6 +18,16 @@ AS_OF = "2024-02-01 00:00:00"
 HIGH_SQL = "timestamp '9999-12-31 00:00:00'"
 
 
+# Cut keys from this many rows on, so that the small test tables use the cut windows too.
+# On big tables the share of a key decides.
+SMALL = 8
+
+
+def order_slices(ts: str):
+    """Day, then blocks of order keys: at most a million rows of a customer per slice."""
+    return F.struct(F.col(ts), F.floor(F.col("o_orderkey") / 1_000_000))
+
+
 def orders_log(spark, sf):
     return table(spark, sf, "orders").select(
         "o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"
@@ -35,13 +45,13 @@ def orders_log(spark, sf):
 )
 def change_lag_hash(spark, sf):
     df = orders_log(spark, sf).drop("o_orderpriority")
-    # One customer may have any number of orders a day, so keys are cut by month.
     return scd2.drop_sequential_unchanged(
         df,
         ["o_custkey"],
         ["o_orderdate", "o_orderkey"],
         exclude=["o_custkey", "o_orderkey", "o_orderdate"],
-        slice_by=F.trunc("o_orderdate", "month"),
+        slice_by=order_slices("o_orderdate"),
+        hot_rows=SMALL,
     )
 
 
@@ -60,7 +70,7 @@ def change_lag_struct(spark, sf):
         "event_id", "user_id", "ts", "event_type", (F.col("event_type") == "error").alias("is_deleted")
     )
     return scd2.drop_sequential_unchanged(
-        df, ["user_id"], ["ts", "event_id"], tracked=["event_type"], deleted="is_deleted", slice_by=F.to_date("ts")
+        df, ["user_id"], ["ts", "event_id"], tracked=["event_type"], deleted="is_deleted", slice_by=F.date_trunc("MINUTE", "ts"), hot_rows=SMALL
     )
 
 
@@ -82,7 +92,8 @@ def validity_lead(spark, sf):
         df,
         ["o_custkey"],
         ["valid_from_est_timestamp", "o_orderkey"],
-        slice_by=F.trunc("valid_from_est_timestamp", "month"),
+        slice_by=order_slices("valid_from_est_timestamp"),
+        hot_rows=SMALL,
     )
 
 
@@ -300,7 +311,7 @@ def scd2_full(spark, sf):
 def scd2_every_event(spark, sf):
     """No reduction to hours: a key may be of any size, so the windows are cut by hour."""
     spec = job(Interval.EVENT)
-    rows = scd2.scd2_pipeline(crud_events(spark, sf), None, spec, AS_OF, project_user, store=materialize)
+    rows = scd2.scd2_pipeline(crud_events(spark, sf), None, spec, AS_OF, project_user, store=materialize, hot_rows=SMALL)
     return flat_history(rows)
 
 

@@ -483,7 +483,7 @@ def pit_join(spark, sf):
     signups = log.where("event_type = 'signup'").select(
         "user_id", "event_id", "k", F.col("at").alias("valid_from_est_timestamp")
     )
-    history = scd2.build_validity(signups, ["user_id"], slice_by=F.to_date("valid_from_est_timestamp"))
+    history = scd2.build_validity(signups, ["user_id"], slice_by=F.date_trunc("MINUTE", "valid_from_est_timestamp"), hot_rows=8)
     history = materialize(history, "history")
     spine = log.select("event_id", "user_id", "event_type", "at")
     return jn.pit_join(
@@ -494,7 +494,8 @@ def pit_join(spark, sf):
         {"signup_id": "event_id", "signup_k": "k"},
         "valid_from_est_timestamp",
         "valid_to_est_timestamp",
-        slice_by=F.to_date("at"),
+        slice_by=F.date_trunc("MINUTE", "at"),
+        hot_rows=8,
     )
 
 

@@ -274,9 +274,10 @@ def _fact_and_stage(spark, sf):
         F.to_date("o_orderdate").alias("rec_eff_ts"),
     )
     early = F.col("rec_eff_ts") < F.lit("2000-06-01").cast("date")
-    # Cut by year: a (trial, feature) pair may hold any number of versions.
+    # A (trial, feature) pair may hold any number of versions: cut by day and blocks of keys.
+    slices = F.struct(F.col("rec_eff_ts"), F.floor(F.col("row_key") / 1_000_000))
     fact = next_value(
-        rows.where(early), ["trial_id", "ftre_cd"], ["rec_eff_ts", "row_key"], F.col("rec_eff_ts"), "_next", F.year("rec_eff_ts")
+        rows.where(early), ["trial_id", "ftre_cd"], ["rec_eff_ts", "row_key"], F.col("rec_eff_ts"), "_next", slices
     )
     fact = fact.select(
         *rows.columns,

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histkit.operators.events import Order, top_rank
-from histkit.operators.windows import forward_fill
+from histkit.operators.windows import HOT_ROWS, forward_fill
 
 
 def pit_join(
@@ -24,6 +24,7 @@ def pit_join(
     closed: bool = False,
     deleted: str | None = None,
     slice_by: str | Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join each spine row to the history row valid at its time: ``from <= at < to``.
 
@@ -47,7 +48,7 @@ def pit_join(
     )
     rows = spine.withColumn("_kind", F.lit(1)).unionByName(past, allowMissingColumns=True)
     order = [at, "_kind", "_to"]
-    rows = forward_fill(rows, keys, order, {"_last": "_h"}, slice_by)
+    rows = forward_fill(rows, keys, order, {"_last": "_h"}, slice_by, hot_rows)
     inside = F.col(at) <= F.col("_last._to") if closed else F.col(at) < F.col("_last._to")
     valid = inside | F.col("_last._gone")
     for k in keys:

@@ -23,7 +23,7 @@ from histkit.functions.times import (
     trunc_hour,
 )
 from histkit.operators import events as ev
-from histkit.operators.windows import next_value, previous_value
+from histkit.operators.windows import HOT_ROWS, next_value, previous_value
 
 
 @dataclass(frozen=True)
@@ -140,6 +140,7 @@ def drop_sequential_unchanged(
     deleted: str | None = None,
     slice_by: str | Column | None = None,
     compat: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Keep a row when it differs from the row before it in its key.
 
@@ -156,7 +157,7 @@ def drop_sequential_unchanged(
         gone = F.coalesce(F.col(deleted), F.lit(False))
         parts.append(gone.alias("d"))
     state = F.struct(*parts)
-    rows = previous_value(df.withColumn("_state", state), keys, order, "_state", "_before", slice_by)
+    rows = previous_value(df.withColumn("_state", state), keys, order, "_state", "_before", slice_by, hot_rows)
     changed = F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.col("_state"))
     return rows.where(changed | gone).drop("_state", "_before")
 
@@ -217,6 +218,7 @@ def build_validity(
     order: Sequence[str] | None = None,
     cols: Scd2Columns = DEFAULT_COLUMNS,
     slice_by: str | Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """End of validity = start of the key's next row; the last row stays open and is current."""
     dtype = df.schema[cols.valid_from].dataType
@@ -227,6 +229,7 @@ def build_validity(
         cols.valid_from,
         cols.valid_to,
         slice_by,
+        hot_rows,
     )
     high = open_end(dtype, cols.high)
     rows = rows.withColumn(cols.valid_to, F.coalesce(F.col(cols.valid_to), high))
@@ -258,6 +261,7 @@ def scd2_changes(
     cols: Scd2Columns = DEFAULT_COLUMNS,
     slice_by: str | Column | None = None,
     store: Callable[[DataFrame, str], DataFrame] | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Projected events -> rows ready to merge into (or to replace) a type-2 target.
 
@@ -269,8 +273,8 @@ def scd2_changes(
     keep = store if store is not None and slice_by is not None else lambda df, name: df
     rows = events if target is None else consolidate(events, target, keys, full_reload, cols)
     rows = keep(rows, "events")
-    rows = keep(drop_sequential_unchanged(rows, keys, by, None, exclude, deleted, slice_by), "changes")
-    rows = build_validity(rows, keys, by, cols, slice_by)
+    rows = drop_sequential_unchanged(rows, keys, by, None, exclude, deleted, slice_by, hot_rows=hot_rows)
+    rows = build_validity(keep(rows, "changes"), keys, by, cols, slice_by, hot_rows)
     return apply_deletes(rows, deleted, cols) if deleted else rows
 
 
@@ -284,6 +288,7 @@ def scd2_pipeline(
     source_ts: tuple[str, str] | None = None,
     cols: Scd2Columns = DEFAULT_COLUMNS,
     store: Callable[[DataFrame, str], DataFrame] | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """From raw events of all verbs to rows for the target table.
 
@@ -301,8 +306,8 @@ def scd2_pipeline(
         rows = project(rows)
     if target is not None:
         rows = rows.select(*target.columns)
-    # One row per local day or hour bounds a key; exact times do not, so cut keys by hour.
-    slice_by = F.date_trunc("HOUR", F.col(cols.valid_from)) if read.interval == Interval.EVENT else None
+    # One row per local day or hour bounds a key; exact times do not, so cut hot keys by minute.
+    slice_by = F.date_trunc("MINUTE", F.col(cols.valid_from)) if read.interval == Interval.EVENT else None
     order_by = [cols.valid_from]
     if slice_by is None:
         known = [c for c in spec.write.target_order_by if c.split(".")[0] in rows.columns]
@@ -318,6 +323,7 @@ def scd2_pipeline(
         cols,
         slice_by,
         store,
+        hot_rows,
     )
 
 

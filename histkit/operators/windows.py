@@ -4,11 +4,15 @@ Without ``slice_by`` these are ordinary windows over the key. That is the right
 events are reduced to one row per key and local hour or day: a key then has at most one
 row per hour of history, however many events it had.
 
-With ``slice_by`` - an expression that never decreases along the order, such as the day or
-hour of the event - each key is cut into slices. Rows are windowed inside (key, slice), and
-what crosses a slice border arrives as one extra row per (key, slice). Those border rows
-come from an aggregation with map-side combine, and the window over them holds one row per
-slice of a key, a number bounded by the length of the history and not by the data.
+With ``slice_by`` - an expression that never decreases along the order, such as the hour of
+the event - hot keys are cut into slices. A key is hot when it holds more than ``HOT_SHARE``
+of all rows (and more than ``hot_rows``); there are at most ``1 / HOT_SHARE`` such keys, so
+the list of them is always small enough to broadcast. Rows are windowed inside (key, slice),
+and what crosses a slice border arrives as one extra row per (hot key, slice). Those border
+rows come from an aggregation with map-side combine, and the window over them holds one row
+per slice of a key, a number bounded by the length of the history and not by the data. All
+other keys keep one slice. The price is a count per key and a second, narrow read of the hot
+keys' rows.
 """
 
 from __future__ import annotations
@@ -21,7 +25,10 @@ from pyspark.sql import functions as F
 
 from histkit.functions.times import col_of
 
-_SLICE, _SEED = "_slice", "_seed"
+HOT_SHARE = 1e-4
+HOT_ROWS = 100_000
+
+_SLICE, _SEED, _HOT = "_slice", "_seed", "_hot"
 
 
 def _held(values: Mapping[str, str | Column]) -> dict[str, str]:
@@ -29,6 +36,20 @@ def _held(values: Mapping[str, str | Column]) -> dict[str, str]:
     return {n: v if isinstance(v, str) else f"_v_{n}" for n, v in values.items()}
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``HOT_SHARE`` of all rows, at most ``1 / HOT_SHARE`` of them."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    return counts.where((F.col("_n") > hot_rows) & (F.col("_n") > total * HOT_SHARE)).select(*keys)
+
+
+def _mark_hot(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    hot = hot_keys(df, keys, hot_rows)
+    hot = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias(_HOT))
+    on = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
+    return df.join(F.broadcast(hot), on, "left").drop(*[f"_hot_{k}" for k in keys])
+
+
 def _with_borders(
     df: DataFrame,
     keys: Sequence[str],
@@ -36,11 +57,13 @@ def _with_borders(
     values: Mapping[str, str | Column],
     slice_by: str | Column,
     mode: str,
+    hot_rows: int,
 ) -> DataFrame:
     """The rows plus one border row per (key, slice) that carries a value in from its neighbour."""
     held = _held(values)
     hidden = {held[n]: v for n, v in values.items() if not isinstance(v, str)}
-    base = df.withColumns({_SLICE: col_of(slice_by), _SEED: F.lit(0), **hidden})
+    slices = F.when(F.col(_HOT), col_of(slice_by))
+    base = _mark_hot(df, keys, hot_rows).withColumns({_SLICE: slices, _SEED: F.lit(0), **hidden})
     position = F.struct(*[F.col(c) for c in order])
 
     def edge(column: str) -> Column:
@@ -52,7 +75,7 @@ def _with_borders(
         known = F.col(column).isNotNull()
         return F.max_by(F.when(known, boxed), F.when(known, position))
 
-    edges = base.groupBy(*keys, _SLICE).agg(*[edge(c).alias(f"_e_{n}") for n, c in held.items()])
+    edges = base.where(F.col(_HOT)).groupBy(*keys, _SLICE).agg(*[edge(c).alias(f"_e_{n}") for n, c in held.items()])
     over = Window.partitionBy(*keys).orderBy(_SLICE)
     before = over.rowsBetween(Window.unboundedPreceding, -1)
     move = {
@@ -73,15 +96,15 @@ def _with_borders(
 
 def _drop_borders(df: DataFrame, values: Mapping[str, str | Column]) -> DataFrame:
     hidden = [f"_v_{n}" for n, v in values.items() if not isinstance(v, str)]
-    return df.where(F.col(_SEED) == 0).drop(_SLICE, _SEED, *hidden)
+    return df.where(F.col(_SEED) == 0).drop(_SLICE, _SEED, _HOT, *hidden)
 
 
-def _neighbour(df, keys, order, value, out, slice_by, fn, mode):
+def _neighbour(df, keys, order, value, out, slice_by, hot_rows, fn, mode):
     if slice_by is None:
         over = Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in order])
         return df.withColumn(out, fn(col_of(value)).over(over))
     values = {out: value}
-    rows = _with_borders(df, keys, order, values, slice_by, mode)
+    rows = _with_borders(df, keys, order, values, slice_by, mode, hot_rows)
     over = Window.partitionBy(*keys, _SLICE).orderBy(_SEED, *[F.col(c).asc() for c in order])
     return _drop_borders(rows.withColumn(out, fn(F.col(_held(values)[out])).over(over)), values)
 
@@ -93,9 +116,10 @@ def previous_value(
     value: str | Column,
     out: str,
     slice_by: str | Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``lag(value)`` per key in ascending order; null on the first row of a key."""
-    return _neighbour(df, keys, order, value, out, slice_by, F.lag, "lag")
+    return _neighbour(df, keys, order, value, out, slice_by, hot_rows, F.lag, "lag")
 
 
 def next_value(
@@ -105,9 +129,10 @@ def next_value(
     value: str | Column,
     out: str,
     slice_by: str | Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``lead(value)`` per key in ascending order; null on the last row of a key."""
-    return _neighbour(df, keys, order, value, out, slice_by, F.lead, "lead")
+    return _neighbour(df, keys, order, value, out, slice_by, hot_rows, F.lead, "lead")
 
 
 def forward_fill(
@@ -116,6 +141,7 @@ def forward_fill(
     order: Sequence[str],
     values: Mapping[str, str | Column],
     slice_by: str | Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Last non-null value at or before each row, per key."""
     asc = [F.col(c).asc() for c in order]
@@ -123,7 +149,7 @@ def forward_fill(
         over = Window.partitionBy(*keys).orderBy(*asc)
         over = over.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumns({n: F.last(col_of(v), ignorenulls=True).over(over) for n, v in values.items()})
-    rows = _with_borders(df, keys, order, values, slice_by, "fill")
+    rows = _with_borders(df, keys, order, values, slice_by, "fill", hot_rows)
     over = Window.partitionBy(*keys, _SLICE).orderBy(_SEED, *asc)
     over = over.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = {n: F.last(c, ignorenulls=True).over(over) for n, c in _held(values).items()}

@@ -26,7 +26,7 @@ def test_pit_join_equals_brute_force(spark, cut):
     h = spark.createDataFrame(hist, "k string, lo int, hi int, v string")
     s = spark.createDataFrame(spine, "n int, k string, at int")
     slices = F.floor(F.col("at") / cut) if cut else None
-    out = jn.pit_join(s, h, ["k"], "at", {"v": "v"}, "lo", "hi", slice_by=slices)
+    out = jn.pit_join(s, h, ["k"], "at", {"v": "v"}, "lo", "hi", slice_by=slices, hot_rows=10)
     want = sorted(
         (n, str(k), next((v for hk, lo, hi, v in hist if k is not None and hk == k and lo <= at < hi), None)) for n, k, at in spine
     )

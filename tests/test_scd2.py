@@ -132,7 +132,8 @@ def test_every_event_with_one_dominant_key(spark):
         ReadSpec(("e",), ("id",), SPEC.read.order_by, interval=Interval.EVENT), SPEC.write
     )
     df = spark.createDataFrame(events, SCHEMA)
-    got = flat(scd2.scd2_pipeline(df, None, spec, "2024-03-01", project))
+    got = flat(scd2.scd2_pipeline(df, None, spec, "2024-03-01", project, hot_rows=50))
+    assert got == flat(scd2.scd2_pipeline(df, None, spec, "2024-03-01", project))
     assert len(got) == 101 and sum(r[4] for r in got) == 2
 
 

@@ -21,6 +21,10 @@ def log(spark):
 SLICES = {"wide": "floor(at / 20)", "narrow": "floor(at / 2)", "all": "1"}
 
 
+# Keys with more than this many rows are cut: the dominant one, or all of them.
+HOT = 20
+
+
 def rows(df):
     return sorted(tuple(r) for r in df.select("id", *sorted(c for c in df.columns if c.startswith("o"))).collect())
 
@@ -29,7 +33,7 @@ def rows(df):
 def test_previous_and_next(log, cut):
     for fn in (wd.previous_value, wd.next_value):
         plain = fn(log, ["key"], ["at", "id"], F.col("value"), "o")
-        sliced = fn(log, ["key"], ["at", "id"], F.col("value"), "o", F.expr(SLICES[cut]))
+        sliced = fn(log, ["key"], ["at", "id"], F.col("value"), "o", F.expr(SLICES[cut]), HOT)
         assert sliced.columns == plain.columns
         assert rows(sliced) == rows(plain)
 
@@ -38,14 +42,20 @@ def test_previous_and_next(log, cut):
 def test_forward_fill(log, cut):
     values = {"o1": F.col("value"), "o2": F.when(F.col("at") % 5 == 0, F.col("id"))}
     plain = wd.forward_fill(log, ["key"], ["at", "id"], values)
-    sliced = wd.forward_fill(log, ["key"], ["at", "id"], values, F.expr(SLICES[cut]))
+    sliced = wd.forward_fill(log, ["key"], ["at", "id"], values, F.expr(SLICES[cut]), HOT)
     assert rows(sliced) == rows(plain)
 
 
 def test_hot_key_is_spread_over_tasks(spark):
     """No window over the rows themselves is partitioned by the key alone."""
     df = spark.range(1000).select(F.lit(1).alias("key"), F.col("id").alias("at"), F.col("id").alias("v"))
-    out = wd.previous_value(df, ["key"], ["at"], F.col("v"), "p", F.floor(F.col("at") / 100))
+    out = wd.previous_value(df, ["key"], ["at"], F.col("v"), "p", F.floor(F.col("at") / 100), 100)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(key" in plan and "_slice" in plan
     assert out.where("p is null").count() == 1
+
+
+def test_only_big_shares_are_hot(spark):
+    df = spark.range(100_000).selectExpr("if(id % 3 = 0, -1, id % 20000) as key")
+    assert [r.key for r in wd.hot_keys(df, ["key"], 4).collect()] == [-1]
+    assert wd.hot_keys(df, ["key"]).count() == 0
