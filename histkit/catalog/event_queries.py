@@ -56,6 +56,18 @@ def events_utc_window(spark, sf):
     return ev.events_in_window(df, "2024-01-02 00:00:00", "2024-01-28 13:00:00", "ts").select(*COLS)
 
 
+@query(
+    "events_session_window",
+    f"{SELECT} where ts >= timestamp '2024-01-04 00:00:00' and ts < timestamp '2024-01-21 07:00:00'",
+)
+def events_session_window(spark, sf):
+    """The window comes from SQL session variables, as a notebook would set it."""
+    for name, value in (("v_from_timestamp", "2024-01-04 00:00:00"), ("v_to_timestamp", "2024-01-21 07:45:00")):
+        spark.sql(f"DECLARE OR REPLACE VARIABLE {name} TIMESTAMP_NTZ DEFAULT timestamp_ntz'{value}'")
+    to_hour = F.date_trunc("HOUR", F.expr("v_to_timestamp")).cast("timestamp_ntz")
+    return ev.events_in_window(table(spark, sf, "events"), F.expr("v_from_timestamp"), to_hour, "ts").select(*COLS)
+
+
 @query(
     "incremental_hours",
     """

@@ -202,7 +202,9 @@ def consolidate(
     """
     if full_reload:
         return src
-    newest = target.groupBy(*keys).agg(F.max(cols.valid_from).alias("_newest"))
+    # Only keys of the batch matter: for a small batch this semi join leaves the target in place.
+    stored = target.select(*keys, cols.valid_from).join(src.select(*keys).distinct(), list(keys), "left_semi")
+    newest = stored.groupBy(*keys).agg(F.max(cols.valid_from).alias("_newest"))
     floor = F.coalesce(F.col("_newest"), F.lit(LOW_END).cast(target.schema[cols.valid_from].dataType))
     fresh = (
         src.join(newest, list(keys), "left")
