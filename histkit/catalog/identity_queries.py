@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from histkit.catalog.join_queries import oneof_source
 from histkit.catalog.registry import ntz, prop, query, table
 from histkit.functions.times import local_time
-from histkit.operators import events as ev
 from histkit.operators import resolve as rs
 from histkit.operators import scd2
 from histkit.operators import timeline as tl

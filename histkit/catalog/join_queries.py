@@ -9,7 +9,6 @@ from histkit.config import Interval, JobSpec, ReadSpec, WriteSpec
 from histkit.functions import nested
 from histkit.functions.casts import conform, null_defaults
 from histkit.functions.times import local_time
-from histkit.operators import events as ev
 from histkit.operators import joins as jn
 from histkit.operators import scd2
 from histkit.plans import device, vehicle

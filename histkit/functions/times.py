@@ -41,7 +41,7 @@ def offset_minutes(zone: str) -> int | None:
 
 
 def local_time(ts: str | Column, zone: str = DEFAULT_ZONE) -> Column:
-    """UTC time -> local wall time. The column must be a timestamp (cast strings first)."""
+    """UTC time -> local wall time of a timestamp column (text: see :func:`timestamp_column`)."""
     minutes = offset_minutes(zone)
     if minutes is None:
         return F.from_utc_timestamp(col_of(ts), zone)
@@ -52,13 +52,19 @@ def column_type(df: DataFrame, ts: str | Column) -> T.DataType:
     return df.select(col_of(ts).alias("c")).schema["c"].dataType
 
 
+def timestamp_column(df: DataFrame, ts: str | Column) -> Column:
+    """The column as a timestamp: text is parsed, both timestamp types stay as they are."""
+    text = isinstance(column_type(df, ts), T.StringType)
+    return col_of(ts).cast("timestamp") if text else col_of(ts)
+
+
 def trunc_hour(df: DataFrame, ts: str | Column) -> Column:
     """Start of the hour, in the type of the input."""
     return F.date_trunc("HOUR", col_of(ts)).cast(column_type(df, ts))
 
 
 def interval_bucket(df: DataFrame, ts: str | Column, interval: Interval, zone: str) -> Column:
-    local = local_time(ts, zone)
+    local = local_time(timestamp_column(df, ts), zone)
     if Interval(interval) == Interval.DAY:
         return F.to_date(local)
     if Interval(interval) == Interval.HOUR:

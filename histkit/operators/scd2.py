@@ -19,6 +19,7 @@ from histkit.functions.times import (
     column_type,
     local_time,
     open_end,
+    timestamp_column,
     timestamp_literal,
     trunc_hour,
 )
@@ -70,8 +71,8 @@ def source_timestamps(
     return df.withColumn(
         out,
         F.struct(
-            local_time(create_col, zone).alias("create_est_timestamp"),
-            local_time(update_col, zone).alias("update_est_timestamp"),
+            local_time(timestamp_column(df, create_col), zone).alias("create_est_timestamp"),
+            local_time(timestamp_column(df, update_col), zone).alias("update_est_timestamp"),
         ),
     )
 
@@ -120,8 +121,8 @@ def seed_scd2(
     cols: Scd2Columns = DEFAULT_COLUMNS,
 ) -> DataFrame:
     """Add the validity columns: start from the event time when given, the rest typed nulls."""
-    dtype = column_type(df, ts) if ts is not None else T.TimestampType()
-    start = local_time(ts, zone) if ts is not None else F.lit(None).cast(dtype)
+    dtype = column_type(df, timestamp_column(df, ts)) if ts is not None else T.TimestampType()
+    start = local_time(timestamp_column(df, ts), zone) if ts is not None else F.lit(None).cast(dtype)
     return df.withColumns(
         {
             cols.valid_from: start,

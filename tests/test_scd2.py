@@ -168,6 +168,14 @@ def test_zones(spark):
     assert row.a == datetime(2024, 6, 30, 21) and row.b == datetime(2024, 6, 30, 22)
 
 
+def test_text_timestamps_are_parsed(spark):
+    df = spark.createDataFrame([("2024-01-01T03:00:00Z", 1), ("2024-01-01 04:30:00", 1)], "at string, id int")
+    rows = scd2.source_timestamps(scd2.seed_scd2(df, "at"), "at", "at").orderBy("at").collect()
+    assert [str(r.valid_from_est_timestamp) for r in rows] == ["2023-12-31 23:30:00", "2023-12-31 22:00:00"]
+    assert rows[0].source_timestamp_struct.create_est_timestamp == rows[0].valid_from_est_timestamp
+    assert ev.latest_per_interval(df, "at", ["id"], ["at"], Interval.DAY).count() == 1
+
+
 def test_date_filters_need_a_date_and_new_york_days(spark):
     df = spark.createDataFrame([(datetime(2024, 7, 1, 4),), (datetime(2024, 7, 1, 3, 59),)], "envelopeTime timestamp")
     with pytest.raises(ValueError):
