@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from histkit.operators.events import Order, top_rank
 from histkit.operators.windows import HOT_ROWS, forward_fill
@@ -57,6 +58,23 @@ def pit_join(
     return rows.where(F.col("_kind") == 1).select(*spine.columns, *[v.alias(n) for n, v in got.items()])
 
 
+# Busy keys of a range join: share of all versions that makes a key busy (so there are at
+# most a million of them), versions aimed at per bucket, and buckets a version may fill.
+BUSY_SHARE = 1e-6
+BUSY_ROWS = 10_000
+PER_BUCKET = 256
+MOST_BUCKETS = 100_000
+
+
+def _seconds(df: DataFrame, c: str) -> Column:
+    """Seconds of a date or timestamp on a scale without gaps, for bucketing."""
+    if isinstance(df.schema[c].dataType, T.TimestampType):
+        return F.unix_seconds(F.col(c))
+    wall = F.col(c).cast("timestamp_ntz")
+    days = F.datediff(wall.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 86400 + F.hour(wall) * 3600 + F.minute(wall) * 60 + F.second(wall)
+
+
 def range_join(
     left: DataFrame,
     right: DataFrame,
@@ -67,37 +85,51 @@ def range_join(
     take: Mapping[str, str],
     width_days: int = 30,
     closed: bool = True,
+    busy_rows: int = BUSY_ROWS,
 ) -> DataFrame:
     """Left join on equal keys and ``lo <= at <= hi`` (``< hi`` if not closed) where versions may overlap.
 
     Time is cut into buckets. A version appears once in each bucket it touches, limited to
     the time span of the left side, so open-ended versions stay finite; every left row looks
     into exactly one bucket and unmatched rows are kept once. ``keys``: left -> right names.
-    """
-    day0 = F.lit("1970-01-01").cast("date")
-
-    def bucket(c: Column) -> Column:
-        return F.floor(F.datediff(c.cast("date"), day0) / F.lit(width_days)).cast("int")
 
-    ends = F.struct(F.min(bucket(F.col(at))).alias("first"), F.max(bucket(F.col(at))).alias("last"))
-    span = left.agg(ends).scalar()
+    Keys with many versions get narrower buckets, so that a left row meets about as many
+    candidates as it would at any other key. Their widths fit a broadcast: a key is busy
+    above a fixed share of all versions.
+    """
+    clock = _seconds(left, at)
+    span = left.agg(F.struct(F.min(clock).alias("first"), F.max(clock).alias("last"))).scalar()
+    start, end = F.greatest(_seconds(right, lo), span["first"]), F.least(_seconds(right, hi), span["last"])
     versions = right.select(
         *[F.col(r).alias(f"_k_{l}") for l, r in keys.items()],
         F.col(lo).alias("_lo"),
         F.col(hi).alias("_hi"),
+        start.alias("_start"),
+        end.alias("_end"),
         *[F.col(c).alias(f"_o_{o}") for o, c in take.items()],
+    ).where(F.col("_start") <= F.col("_end"))
+
+    counts = versions.groupBy(*[f"_k_{l}" for l in keys]).agg(
+        F.count(F.lit(1)).alias("_n"), (F.max("_end") - F.min("_start") + 1).alias("_length")
     )
-    versions = versions.withColumns(
-        {
-            "_b0": F.greatest(bucket(F.col("_lo")), span["first"]),
-            "_b1": F.least(bucket(F.col("_hi")), span["last"]),
-        }
-    ).where(F.col("_b0") <= F.col("_b1"))
-    versions = versions.withColumn("_bucket", F.explode(F.sequence("_b0", "_b1"))).drop("_b0", "_b1")
-    rows = left.withColumn("_left_bucket", bucket(F.col(at)))
-    end = F.col(at) <= F.col("_hi") if closed else F.col(at) < F.col("_hi")
+    total = counts.agg(F.sum("_n")).scalar()
+    narrow = F.ceil(F.greatest(F.col("_length") * PER_BUCKET / F.col("_n"), F.col("_length") / MOST_BUCKETS))
+    busy = counts.where((F.col("_n") > busy_rows) & (F.col("_n") > total * BUSY_SHARE)).select(
+        *[F.col(f"_k_{l}").alias(f"_b_{l}") for l in keys], narrow.alias("_width")
+    )
+    width = F.coalesce(F.col("_width"), F.lit(width_days * 86400).cast("bigint"))
+
+    def bucket(c: Column) -> Column:
+        return F.floor(c / width)
+
+    versions = versions.join(F.broadcast(busy), [F.col(f"_k_{l}") == F.col(f"_b_{l}") for l in keys], "left")
+    touched = F.sequence(bucket(F.col("_start")), bucket(F.col("_end")))
+    versions = versions.withColumn("_bucket", F.explode(touched)).drop("_width", *[f"_b_{l}" for l in keys])
+    rows = left.join(F.broadcast(busy), [F.col(l) == F.col(f"_b_{l}") for l in keys], "left")
+    rows = rows.select(*left.columns, bucket(clock).alias("_left_bucket"))
+    before_end = F.col(at) <= F.col("_hi") if closed else F.col(at) < F.col("_hi")
     on = [F.col(l) == F.col(f"_k_{l}") for l in keys]
-    on += [F.col("_left_bucket") == F.col("_bucket"), F.col(at) >= F.col("_lo"), end]
+    on += [F.col("_left_bucket") == F.col("_bucket"), F.col(at) >= F.col("_lo"), before_end]
     return rows.join(versions, on, "left").select(
         *left.columns, *[F.col(f"_o_{o}").alias(o) for o in take]
     )

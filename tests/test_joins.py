@@ -33,13 +33,14 @@ def test_pit_join_equals_brute_force(spark, cut):
     assert sorted((r.n, str(r.k), r.v) for r in out.collect()) == want
 
 
-def test_range_join_with_overlaps_and_open_ends(spark):
-    left = spark.sql("select id as n, 'a' as k, date_add(date'2024-01-01', cast(id * 9 as int)) as at from range(60)")
+@pytest.mark.parametrize("busy", [0, 2, 10_000])
+def test_range_join_with_overlaps_and_open_ends(spark, busy):
+    left = spark.sql("select id as n, if(id < 0, 'z', 'a') as k, date_add(date'2024-01-01', cast(id * 9 as int)) as at from range(60)")
     right = spark.createDataFrame(
         [("a", "2023-01-01", "9999-12-31", "open"), ("a", "2024-02-01", "2024-03-05", "x"), ("a", "2024-03-05", "2024-03-05", "day"), ("b", "2024-01-01", "9999-12-31", "no")],
         "k string, lo string, hi string, v string",
     ).selectExpr("k", "date(lo) lo", "date(hi) hi", "v")
-    out = jn.range_join(left, right, {"k": "k"}, "at", "lo", "hi", {"v": "v"}, width_days=10)
+    out = jn.range_join(left, right, {"k": "k"}, "at", "lo", "hi", {"v": "v"}, width_days=10, busy_rows=busy)
     left.createOrReplaceTempView("l_side")
     right.createOrReplaceTempView("r_side")
     want = spark.sql("select l.*, r.v from l_side l left join r_side r on l.k = r.k and l.at between r.lo and r.hi")
@@ -47,6 +48,30 @@ def test_range_join_with_overlaps_and_open_ends(spark):
     assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("busy", [10, 10_000])
+def test_range_join_of_one_busy_key(spark, kind, busy):
+    rng = random.Random(7)
+    base = F.lit("2024-03-01 00:00:00").cast(kind)
+
+    def at(c):
+        return base + F.make_dt_interval(secs=F.col(c))
+
+    left = spark.createDataFrame([(i, rng.choice(["hot", "hot", "b", None]), rng.randrange(5000)) for i in range(150)], "n int, k string, s int")
+    spans = [(rng.choice(["hot", "hot", "hot", "b"]), rng.randrange(5000), rng.choice([0, 5, 90, 4000, 10**9]), i) for i in range(200)]
+    right = spark.createDataFrame(spans, "k string, s int, w int, v int")
+    right = right.select("k", "v", "s", (F.col("s") + F.col("w")).alias("e"), at("s").alias("lo"), (at("s") + F.make_dt_interval(secs=F.col("w"))).alias("hi"))
+    left = left.withColumn("at", at("s"))
+    for closed in (True, False):
+        out = jn.range_join(left, right, {"k": "k"}, "at", "lo", "hi", {"v": "v"}, 1, closed, busy)
+        want = []
+        for r in left.collect():
+            hits = [v for k, s, w, v in spans if k == r.k and s <= r.s and (r.s <= s + w if closed else r.s < s + w)]
+            want += [(r.n, v) for v in hits] or [(r.n, None)]
+        assert sorted((r.n, r.v) for r in out.collect() if r.v is not None) == sorted(w for w in want if w[1] is not None)
+        assert {r.n for r in out.where("v is null").collect()} == {n for n, v in want if v is None}
+
+
 def test_not_in_ignores_nulls(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     other = spark.createDataFrame([(1,), (None,)], "k int")
