@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histkit.llm import mixing, packing
+from histkit.llm import mixing, packing, secretscan, simhash
 from histkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,13 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "source", "size", "source_size", "target", "taken", "copies", "extra")
+
+
+@query
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
