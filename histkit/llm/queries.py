@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histkit.llm import mixing, packing, secretscan, simhash
+from histkit.llm import covertree, mixing, packing, secretscan, sharding, simhash, topk
 from histkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,19 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = sharding.shard(table(spark, sf_dir, "documents"))
+    return shards.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+@query
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
