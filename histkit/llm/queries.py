@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histkit.llm import covertree, mixing, packing, secretscan, sharding, simhash, topk
+from histkit.llm import covertree, htmltext, mixing, packing, quality, secretscan, sharding, simhash, topk, toxicity
 from histkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,19 @@ def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return quality.classify(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text")
