@@ -56,7 +56,7 @@ def fingerprints(texts: pd.Series) -> pd.Series:
 
 
 def _quarters(fps: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(fps.view(np.uint16).reshape(-1, 4)).astype(np.int16)
+    return np.bitwise_count(np.ascontiguousarray(fps).view(np.uint16).reshape(-1, 4)).astype(np.int16)
 
 
 def near_in_tiles(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> tuple[np.ndarray, np.ndarray]:

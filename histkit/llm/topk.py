@@ -80,10 +80,6 @@ class ImpactIndex:
         return possible[top], exact[top]
 
 
-def _quantities(column: pa.Array, dims: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dims)
-
-
 def top_k(vectors: DataFrame, queries, k: int = 5, scale: int = 256, rows: int = ROWS, per_block: int = QUERIES) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of each query's k best rows.
 
@@ -101,7 +97,7 @@ def top_k(vectors: DataFrame, queries, k: int = 5, scale: int = 256, rows: int =
     def gather(key: tuple, group: pa.Table) -> pa.Table:
         group = group.sort_by("uid").combine_chunks()
         columns = {name: [group.column(name).to_numpy().astype(np.int64).tobytes()] for name in ("uid", "vec_id")}
-        values = _quantities(group.column("v").combine_chunks(), key[0].as_py())
+        values = group.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         return pa.table({"dims": pa.array([key[0].as_py()], pa.int32()), "block": pa.array([key[1].as_py()]), **columns, "v": [values.tobytes()]})
 
     def blocks(of: DataFrame, n: str) -> DataFrame:

@@ -1,0 +1,62 @@
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+from helpers import DOCS, awkward, documents
+
+from histkit.llm.secretscan import WINDOW, base_spans, dense_windows, joined, redact, redacted, scan
+
+
+def plain_base(text):
+    """The contract, word by word."""
+    found = []
+    pattern = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    keyword, rest = pattern.split(")", 1)
+    either = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in keyword)
+    found += [(m.start(), 0, m.end()) for m in re.finditer(f"{either}){rest}", text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+def test_base_spans_by_contract():
+    rng = random.Random(1)
+    parts = ["password", "Token", "api_key", "APIKEY", "ſecret", "toKen", "secret", ":", "=", " ", '"', "'", "abc", "abcdef", "token", "AKIA", "A1B2C3D4E5F6G7H8", "0a1b2c3d4e5f", "deadbeef", "💡", "-", "zz", "\n"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 14)))
+        assert base_spans(text) == plain_base(text), text
+
+
+def test_windows_equal_entropy_from_scratch():
+    rng = random.Random(2)
+    for _ in range(200):
+        text = "".join(rng.choice("abcdeXYZ0189") for _ in range(rng.randint(WINDOW, 80)))
+        dense = set()
+        for k in range(len(text) - WINDOW + 1):
+            shares = [c / WINDOW for c in Counter(text[k : k + WINDOW]).values()]
+            if -sum(p * math.log2(p) for p in shares) >= 3.0 - 1e-9:
+                dense.update(range(k, k + WINDOW))
+        assert {x for s, e in dense_windows(text, 3.0) for x in range(s, e)} == dense
+
+
+def test_entropy_adds_and_allow_list_suppresses(spark):
+    key = "q9XzT4vLm2Rk8WbN7cYp3HsD"
+    texts = [f"see {key} here", "id 123e4567-e89b-12d3-a456-426614174000 end", "EXAMPLEq9XzT4vLm2Rk8WbN7cYp3HsD", "Unabhängigkeitserklärungen donaudampfschifffahrt internationalization-of-everything", f"token={key}"]
+    rows = scan(documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])).orderBy("doc_id").collect()
+    assert [r.n_entropy for r in rows] == [1, 0, 0, 0, 0]
+    assert rows[0].spans == f"entropy:4:{4 + len(key)}" and rows[4].spans == f"assign:0:{6 + len(key)}"
+    assert redacted(texts[0]) == "see [SECRET] here" and redacted(texts[3]) == texts[3]
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark).withColumnRenamed("lang", "Spans")
+    rows = scan(docs).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert r.base_sha256 == hashlib.sha256(joined(plain_base(r.text or "")).encode()).hexdigest()
+    assert redact(docs).columns == docs.columns and redact(docs).count() == docs.count()
+    assert scan(spark.createDataFrame([], DOCS)).collect() == []
+    masked = redact(documents(spark, [(1, "💡 password=hunter22 x", "en", "s")])).first()
+    assert masked.text == "💡 [SECRET] x" and masked.n_chars == len(masked.text)
