@@ -58,12 +58,8 @@ def pit_join(
     return rows.where(F.col("_kind") == 1).select(*spine.columns, *[v.alias(n) for n, v in got.items()])
 
 
-# Busy keys of a range join: share of all versions that makes a key busy (so there are at
-# most a million of them), versions aimed at per bucket, and buckets a version may fill.
-BUSY_SHARE = 1e-6
-BUSY_ROWS = 10_000
-PER_BUCKET = 256
-MOST_BUCKETS = 100_000
+# Bucket widths of a range join: a day times powers of eight, then one bucket for all time.
+FINEST, STEP, WIDTHS = 86_400, 8, 6
 
 
 def _seconds(df: DataFrame, c: str) -> Column:
@@ -83,56 +79,48 @@ def range_join(
     lo: str,
     hi: str,
     take: Mapping[str, str],
-    width_days: int = 30,
     closed: bool = True,
-    busy_rows: int = BUSY_ROWS,
 ) -> DataFrame:
     """Left join on equal keys and ``lo <= at <= hi`` (``< hi`` if not closed) where versions may overlap.
 
-    Time is cut into buckets. A version appears once in each bucket it touches, limited to
-    the time span of the left side, so open-ended versions stay finite; every left row looks
-    into exactly one bucket and unmatched rows are kept once. ``keys``: left -> right names.
-
-    Keys with many versions get narrower buckets, so that a left row meets about as many
-    candidates as it would at any other key. Their widths fit a broadcast: a key is busy
-    above a fixed share of all versions.
+    Time is cut into buckets of several widths, each eight times the one before. A version is
+    kept at the narrowest width that is not below its length, where it touches at most two
+    buckets, so a history of *n* versions of any length becomes at most 2 *n* rows. A point in time looks once into
+    each width in use. Points are the distinct (key, time) pairs of the left side; their hits
+    are then joined back to the rows by equality, so unmatched rows are kept once.
+    ``keys``: left -> right names.
     """
-    clock = _seconds(left, at)
-    span = left.agg(F.struct(F.min(clock).alias("first"), F.max(clock).alias("last"))).scalar()
-    start, end = F.greatest(_seconds(right, lo), span["first"]), F.least(_seconds(right, hi), span["last"])
+    start, end = _seconds(right, lo), _seconds(right, hi)
+    length = end - start + 1
+    level = F.lit(WIDTHS)
+    for n in reversed(range(WIDTHS)):
+        level = F.when(length <= FINEST * STEP**n, F.lit(n)).otherwise(level)
+
+    def bucket(seconds: Column, n: Column) -> Column:
+        width = F.element_at(F.array(*[F.lit(FINEST * STEP**k).cast("bigint") for k in range(WIDTHS)]), F.least(n + 1, F.lit(WIDTHS)))
+        return F.when(n < WIDTHS, F.floor(seconds / width)).otherwise(F.lit(0)).cast("bigint")
+
     versions = right.select(
         *[F.col(r).alias(f"_k_{l}") for l, r in keys.items()],
         F.col(lo).alias("_lo"),
         F.col(hi).alias("_hi"),
-        start.alias("_start"),
-        end.alias("_end"),
+        level.alias("_level"),
+        F.array_distinct(F.array(bucket(start, level), bucket(end, level))).alias("_buckets"),
         *[F.col(c).alias(f"_o_{o}") for o, c in take.items()],
-    ).where(F.col("_start") <= F.col("_end"))
+    ).where(F.col("_lo") <= F.col("_hi"))
+    used = versions.agg(F.collect_set("_level")).scalar()
+    versions = versions.withColumn("_bucket", F.explode("_buckets")).drop("_buckets")
 
-    counts = versions.groupBy(*[f"_k_{l}" for l in keys]).agg(
-        F.count(F.lit(1)).alias("_n"), (F.max("_end") - F.min("_start") + 1).alias("_length")
-    )
-    total = counts.agg(F.sum("_n")).scalar()
-    narrow = F.ceil(F.greatest(F.col("_length") * PER_BUCKET / F.col("_n"), F.col("_length") / MOST_BUCKETS))
-    busy = counts.where((F.col("_n") > busy_rows) & (F.col("_n") > total * BUSY_SHARE)).select(
-        *[F.col(f"_k_{l}").alias(f"_b_{l}") for l in keys], narrow.alias("_width")
-    )
-    width = F.coalesce(F.col("_width"), F.lit(width_days * 86400).cast("bigint"))
-
-    def bucket(c: Column) -> Column:
-        return F.floor(c / width)
-
-    versions = versions.join(F.broadcast(busy), [F.col(f"_k_{l}") == F.col(f"_b_{l}") for l in keys], "left")
-    touched = F.sequence(bucket(F.col("_start")), bucket(F.col("_end")))
-    versions = versions.withColumn("_bucket", F.explode(touched)).drop("_width", *[f"_b_{l}" for l in keys])
-    rows = left.join(F.broadcast(busy), [F.col(l) == F.col(f"_b_{l}") for l in keys], "left")
-    rows = rows.select(*left.columns, bucket(clock).alias("_left_bucket"))
-    before_end = F.col(at) <= F.col("_hi") if closed else F.col(at) < F.col("_hi")
-    on = [F.col(l) == F.col(f"_k_{l}") for l in keys]
-    on += [F.col("_left_bucket") == F.col("_bucket"), F.col(at) >= F.col("_lo"), before_end]
-    return rows.join(versions, on, "left").select(
-        *left.columns, *[F.col(f"_o_{o}").alias(o) for o in take]
-    )
+    clock = _seconds(left, at)
+    points = left.select(*[F.col(l).alias(f"_p_{l}") for l in keys], F.col(at).alias("_at"), clock.alias("_clock"))
+    points = points.where(F.col("_at").isNotNull()).distinct()
+    points = points.withColumn("_n", F.explode(used)).withColumn("_b", bucket(F.col("_clock"), F.col("_n")))
+    before_end = F.col("_at") <= F.col("_hi") if closed else F.col("_at") < F.col("_hi")
+    on = [F.col(f"_p_{l}") == F.col(f"_k_{l}") for l in keys]
+    on += [F.col("_n") == F.col("_level"), F.col("_b") == F.col("_bucket"), F.col("_at") >= F.col("_lo"), before_end]
+    hits = points.join(versions, on).select(*[f"_p_{l}" for l in keys], "_at", *[f"_o_{o}" for o in take])
+    back = [F.col(l) == F.col(f"_p_{l}") for l in keys] + [F.col(at) == F.col("_at")]
+    return left.join(hits, back, "left").select(*left.columns, *[F.col(f"_o_{o}").alias(o) for o in take])
 
 
 def latest_snapshot(df: DataFrame, snapshot: str) -> DataFrame:

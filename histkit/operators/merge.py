@@ -1,4 +1,8 @@
-"""MERGE as one full outer join that yields the new target, for tables without a MERGE command.
+"""MERGE as joins that yield the new target, for tables without a MERGE command.
+
+The target is left-joined to the source, so Spark can broadcast a small source and split a
+skewed key; source rows without a target row come from an anti join against the keys they
+share with the target. Only a clause for absent rows needs a full outer join.
 
 Every function returns the target's columns plus ``_action`` (``keep``, ``insert``,
 ``update``, ``delete``), deleted rows included, so one DataFrame gives both the new
@@ -19,7 +23,7 @@ from histkit.functions.hashing import comparable
 from histkit.operators.scd2 import DEFAULT_COLUMNS, Scd2Columns
 
 ACTION = "_action"
-_SALT, _COPIES, _COPY, _IN_T, _IN_S = "_salt", "_copies", "_copy", "_in_target", "_in_source"
+_COPIES, _IN_T, _IN_S = "_copies", "_in_target", "_in_source"
 
 
 @dataclass(frozen=True)
@@ -57,13 +61,6 @@ def any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def _salted(df: DataFrame, keys: Sequence[str]) -> Column:
-    """Spread rows with a null key, which never match, over many tasks; 0 for real keys."""
-    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{n}`") for n in plain]), F.lit(1024)).cast("int")
-    return F.when(any_null(keys), spread).otherwise(F.lit(0))
-
-
 def _new_value(name: str, c: Clause, base: Column) -> Column:
     if name in c.values:
         return c.values[name]
@@ -86,16 +83,41 @@ def merge(
     the row is computed, as soon as one of them would change it; if none would, the target
     row is kept once. ``source_unique`` promises one source row per key and skips the check.
     """
-    s = source.withColumns({_SALT: _salted(source, keys), _IN_S: F.lit(True)})
+    keys = list(keys)
+    absent = any(c.kind == "not_matched_by_source" for c in clauses)
+    s = source.withColumn(_IN_S, F.lit(True))
+    s_known, s_null = s.where(~any_null(keys)), s.where(any_null(keys))
+    t = target.withColumn(_IN_T, F.lit(True))
+    copied = None
     if not source_unique:
-        over = Window.partitionBy(*keys, _SALT).orderBy(_SALT)
-        whole = over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        s = s.withColumns({_COPIES: F.count(F.lit(1)).over(whole), _COPY: F.row_number().over(over)})
-    t = target.withColumns({_SALT: _salted(target, keys), _IN_T: F.lit(True)})
-    t, s = t.alias("t"), s.alias("s")
-    on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys] + [F.col(f"t.{_SALT}") == F.col(f"s.{_SALT}")]
-    rows = t.join(s, on, "full")
+        copied = s_known.groupBy(*keys).agg(F.count(F.lit(1)).alias(_COPIES)).where(F.col(_COPIES) > 1)
+        s_known = s_known.join(copied, keys, "left").select(*s.columns, _COPIES)
+        s_null = s_null.withColumn(_COPIES, F.lit(None).cast("bigint"))
+    on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+    if absent:
+        t_known, t_null = t.where(~any_null(keys)), t.where(any_null(keys))
+        branches = [t_known.alias("t").join(s_known.alias("s"), on, "full"), t_null.alias("t").join(s_null.where(F.lit(False)).alias("s"), on, "left")]
+        new = s_null
+    else:
+        branches = [t.alias("t").join(s_known.alias("s"), on, "left")]
+        shared = target.select(*keys).join(s_known.select(*keys).distinct(), keys, "left_semi").distinct()
+        new = s_known.join(shared, keys, "left_anti").select(*s_null.columns).unionByName(s_null)
+    if any(c.kind == "not_matched" for c in clauses):
+        branches.append(t.where(F.lit(False)).alias("t").join(new.alias("s"), on, "right"))
+
+    def resolved(rows: DataFrame) -> DataFrame:
+        return _resolved(rows, target, source, clauses, source_unique)
+
+    merged = reduce(DataFrame.unionByName, map(resolved, branches))
+    if copied is None:
+        return merged
+    # A target row met by several source rows that leave it alone stays one row.
+    left_alone = target.join(copied.select(*keys), keys, "left_semi").select(*target.columns)
+    return merged.unionByName(left_alone.withColumn(ACTION, F.lit("keep")))
 
+
+def _resolved(rows: DataFrame, target: DataFrame, source: DataFrame, clauses: Sequence[Clause], source_unique: bool) -> DataFrame:
+    """Joined rows -> target columns and action, by the first clause that holds."""
     in_t, in_s = F.col(f"t.{_IN_T}").isNotNull(), F.col(f"s.{_IN_S}").isNotNull()
     kinds = {"matched": in_t & in_s, "not_matched": ~in_t & in_s, "not_matched_by_source": in_t & ~in_s}
 
@@ -107,7 +129,7 @@ def merge(
     for i, c in reversed(list(enumerate(clauses))):
         chosen = F.when(holds(c), F.lit(i)).otherwise(chosen)
     if not source_unique:
-        clash = in_t & (F.col(f"s.{_COPIES}") > 1) & (chosen >= 0)
+        clash = in_t & F.col(f"s.{_COPIES}").isNotNull() & (chosen >= 0)
         chosen = F.when(
             clash, F.raise_error(F.lit("more than one source row matches a target row")).cast("int")
         ).otherwise(chosen)
@@ -132,9 +154,8 @@ def merge(
     action = F.when(in_t, F.lit("keep"))
     for i, c in enumerate(clauses):
         action = F.when(pick == i, F.lit(c.action)).otherwise(action)
-    # Source rows that no insert clause takes do not reach the target, and a target row met
-    # by several source rows that leave it alone stays one row.
-    once = in_t if source_unique else in_t & (F.coalesce(F.col(f"s.{_COPY}"), F.lit(1)) == 1)
+    # Source rows that no insert clause takes do not reach the target.
+    once = in_t if source_unique else in_t & F.col(f"s.{_COPIES}").isNull()
     return rows.where(once | (pick >= 0)).select(*out, action.alias(ACTION))
 
 
@@ -220,13 +241,17 @@ def upsert_replace(target: DataFrame, stage: DataFrame, keys: Sequence[str]) ->
 
 
 def sync(
-    target: DataFrame, stage: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None
+    target: DataFrame,
+    stage: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str] | None = None,
+    source_unique: bool = False,
 ) -> DataFrame:
     """Make the target hold exactly the staged keys: update, insert, and delete what is absent."""
     shared = columns or [c for c in stage.columns if c in target.columns and c not in keys]
     update = matched_update({c: F.col(f"s.{c}") for c in shared})
     insert = insert_missing({c: F.col(f"s.{c}") for c in [*keys, *shared]})
-    return merge(target, stage, keys, [update, insert, delete_absent()])
+    return merge(target, stage, keys, [update, insert, delete_absent()], source_unique)
 
 
 def merge_if_different(
@@ -236,6 +261,7 @@ def merge_if_different(
     compare: Mapping[str, str],
     update: Mapping[str, Column],
     insert: Mapping[str, Column],
+    source_unique: bool = False,
 ) -> DataFrame:
     """Update a matched row only when a compared attribute differs; null to value is a difference.
 
@@ -245,7 +271,7 @@ def merge_if_different(
         lambda a, b: a | b,
         [~F.col(f"t.{t}").eqNullSafe(F.col(f"s.{s}")) for t, s in compare.items()],
     )
-    return merge(target, source, keys, [matched_update(update, differs), insert_missing(insert)])
+    return merge(target, source, keys, [matched_update(update, differs), insert_missing(insert)], source_unique)
 
 
 def new_and_updated(

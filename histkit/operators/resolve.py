@@ -64,7 +64,7 @@ def upsert_primary_persons(
     update["primary_legacy_account_id"] = F.lit(None)
     insert = {c: F.col(f"s.{c}") for c in src.columns}
     return merge_if_different(
-        person, src, ["individual_id"], {c: c for c in changing}, update, insert
+        person, src, ["individual_id"], {c: c for c in changing}, update, insert, source_unique=True
     )
 
 

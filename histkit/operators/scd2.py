@@ -189,30 +189,47 @@ def ignore_unchanged_vs_target(
     )
 
 
+def _newest_start(src: DataFrame, target: DataFrame, keys: Sequence[str], cols: Scd2Columns) -> DataFrame:
+    """Newest stored start of each key of the batch, over closed rows too."""
+    stored = target.select(*keys, cols.valid_from).join(src.select(*keys).distinct(), list(keys), "left_semi")
+    return stored.groupBy(*keys).agg(F.max(cols.valid_from).alias("_newest"))
+
+
 def consolidate(
     src: DataFrame,
     target: DataFrame,
     keys: Sequence[str],
     full_reload: bool = False,
     cols: Scd2Columns = DEFAULT_COLUMNS,
+    all_current: bool = False,
 ) -> DataFrame:
-    """Events newer than anything stored for their key, plus the current target rows.
+    """Events newer than anything stored for their key, plus the current target rows of those keys.
 
     The newest start per key is taken over all target rows, closed ones included, so a key
-    that ends in a tombstone does not accept the same batch twice. Late events are dropped.
+    that ends in a tombstone does not accept the same batch twice. A key that is not stored
+    keeps all its events. Events that are not newer are left to :func:`late_events`.
+    ``all_current`` adds the current rows of all keys instead, which costs the whole target.
     """
     if full_reload:
         return src
-    # Only keys of the batch matter: for a small batch this semi join leaves the target in place.
-    stored = target.select(*keys, cols.valid_from).join(src.select(*keys).distinct(), list(keys), "left_semi")
-    newest = stored.groupBy(*keys).agg(F.max(cols.valid_from).alias("_newest"))
-    floor = F.coalesce(F.col("_newest"), F.lit(LOW_END).cast(target.schema[cols.valid_from].dataType))
+    newest = _newest_start(src, target, keys, cols)
     fresh = (
         src.join(newest, list(keys), "left")
-        .where(F.col(cols.valid_from) > floor)
+        .where(F.col("_newest").isNull() | (F.col(cols.valid_from) > F.col("_newest")))
         .select(*src.columns)
     )
-    return fresh.unionByName(target.where(F.col(cols.is_current)), allowMissingColumns=False)
+    current = target.where(F.col(cols.is_current))
+    if not all_current:
+        current = current.join(src.select(*keys).distinct(), list(keys), "left_semi").select(*target.columns)
+    return fresh.unionByName(current, allowMissingColumns=False)
+
+
+def late_events(src: DataFrame, target: DataFrame, keys: Sequence[str], cols: Scd2Columns = DEFAULT_COLUMNS) -> DataFrame:
+    """Events that :func:`consolidate` leaves out: not after the newest stored start of their
+    key, or without a start. Store them, count them, or rebuild their keys."""
+    start = F.col(cols.valid_from)
+    known = src.join(_newest_start(src, target, keys, cols), list(keys))
+    return known.where(start.isNull() | (start <= F.col("_newest"))).select(*src.columns)
 
 
 def build_validity(

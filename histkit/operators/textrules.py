@@ -45,6 +45,9 @@ NOISE_RULES = (
     Rule(r"(?imdU)^\s*SET\s+ReturnCode\s*=\s*SQLSTATE\s*;", trim=True),
     Rule(r"(?isU)INSERT\s+INTO\s+DP_MEDW\..*?\);", trim=True),
     Rule(r"(?isU)UPDATE\s+DP_MEDW\..*?WHERE\s+spName\s*=\s*.*?;", trim=True),
+    # The next two ask for a backslash and any one character after Env.
+    Rule(r"(?imdU)^\s*CALL\s+EDW_Env\\.sp_InsertQuery\(.*\);", trim=True),
+    Rule(r"(?imdU)^\s*CALL\s+EDW_Env\\.sysexecsql\(:strSQLCmd\);", trim=True),
     Rule(r"\n{3,}", trim=True),
 )
 NORMALIZE_RULES = COMMENT_RULES + KEYWORD_RULES + OPERATOR_RULES
@@ -184,22 +187,29 @@ def substitute_vars(df: DataFrame, env: DataFrame, expr: str = "statement", job:
 
 
 def is_log_statement(expr: str | Column) -> Column:
-    low = F.lower(col_of(expr))
-    hit = F.lit(False)
-    for mark in LOG_MARKS:
-        hit = hit | low.contains(mark.lower())
-    return hit
+    return F.regexp_like(col_of(expr), F.lit("(?i)" + "|".join(LOG_MARKS)))
 
 
 def finish_statement(c: Column) -> Column:
-    done = apply_rules(c, CAST_RULES + CLOCK_RULES)
-    return F.when(done.endswith(";"), done).otherwise(F.concat(done, F.lit(";")))
+    # The variable of the function holds the rewritten text, so the rules run once per text.
+    ended = F.transform(F.array(apply_rules(c, CAST_RULES + CLOCK_RULES)), lambda x: F.when(x.endswith(";"), x).otherwise(F.concat(x, F.lit(";"))))
+    return F.element_at(ended, 1)
 
 
 def _prepared(scripts: DataFrame, col: str) -> DataFrame:
-    rows = rewrite_text(scripts, col)
-    rows = rows.withColumns({"job_name": job_name(col), "has_call": has_dynamic_call(col)})
-    return rows.withColumn(col, apply_rules(col, NOISE_RULES))
+    """Rewritten texts with job_name and has_call; texts without both are not cleaned further.
+
+    The rewritten text is the variable of a function, and its results come out of a generator,
+    into which filters on them are not pushed: each rule runs once per text.
+    """
+
+    def parts(x: Column) -> Column:
+        name, call = job_name(x), has_dynamic_call(x)
+        return F.struct(name.alias("job_name"), call.alias("has_call"), F.when(name.isNotNull() & call, apply_rules(x, NOISE_RULES)).alias(col))
+
+    others = [c for c in scripts.columns if c != col]
+    made = F.transform(F.array(apply_rules(col, NORMALIZE_RULES)), parts)
+    return scripts.select(*others, F.inline(made))
 
 
 def script_statements(scripts: DataFrame, env: DataFrame, id_col: str = "doc_id", col: str = "text") -> DataFrame:
@@ -225,8 +235,9 @@ def route_status(scripts: DataFrame, env: DataFrame, id_col: str = "doc_id", col
         return ~is_log_statement(x) & ~F.regexp_like(evaluate_concat(x, values), F.lit(LOG_TARGET))
 
     found = F.regexp_extract_all(F.col(col), F.lit(STATEMENT), F.lit(1))
-    # A column of its own, so that the count is not computed again for the status.
-    rows = rows.withColumn("_n", F.size(F.filter(found, usable)))
+    # Undecided scripts only; a column of its own, so that the count is not computed again for the status.
+    undecided = F.col("job_name").isNotNull() & F.col("has_call") & F.col("_mapped").isNotNull()
+    rows = rows.withColumn("_n", F.when(undecided, F.size(F.filter(found, usable))).otherwise(0))
     count = F.col("_n")
     status = (
         F.when(F.col("job_name").isNull(), F.lit(NO_JOB))

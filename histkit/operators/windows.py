@@ -13,6 +13,9 @@ rows come from an aggregation with map-side combine, and the window over them ho
 per slice of a key, a number bounded by the length of the history and not by the data. All
 other keys keep one slice. The price is a count per key and a second, narrow read of the hot
 keys' rows.
+
+Rows that tie in the order are put in the order of a hash of the whole row, here and there, so
+the answer depends neither on a key's size nor on the partitioning.
 """
 
 from __future__ import annotations
@@ -28,7 +31,13 @@ from histkit.functions.times import col_of
 HOT_SHARE = 1e-4
 HOT_ROWS = 100_000
 
-_SLICE, _SEED, _HOT = "_slice", "_seed", "_hot"
+_SLICE, _SEED, _HOT, _TIE = "_slice", "_seed", "_hot", "_tie"
+
+
+def _with_tie(df: DataFrame) -> DataFrame:
+    """Add a hash of the row as the last part of the order. Maps have no hash and are left out."""
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return df.withColumn(_TIE, F.xxhash64(*[F.col(f"`{n}`") for n in plain]))
 
 
 def _held(values: Mapping[str, str | Column]) -> dict[str, str]:
@@ -62,6 +71,7 @@ def _with_borders(
     """The rows plus one border row per (key, slice) that carries a value in from its neighbour."""
     held = _held(values)
     hidden = {held[n]: v for n, v in values.items() if not isinstance(v, str)}
+    order = [*order, _TIE]
     slices = F.when(F.col(_HOT), col_of(slice_by))
     base = _mark_hot(df, keys, hot_rows).withColumns({_SLICE: slices, _SEED: F.lit(0), **hidden})
     position = F.struct(*[F.col(c) for c in order])
@@ -96,16 +106,17 @@ def _with_borders(
 
 def _drop_borders(df: DataFrame, values: Mapping[str, str | Column]) -> DataFrame:
     hidden = [f"_v_{n}" for n, v in values.items() if not isinstance(v, str)]
-    return df.where(F.col(_SEED) == 0).drop(_SLICE, _SEED, _HOT, *hidden)
+    return df.where(F.col(_SEED) == 0).drop(_SLICE, _SEED, _HOT, _TIE, *hidden)
 
 
 def _neighbour(df, keys, order, value, out, slice_by, hot_rows, fn, mode):
+    df = _with_tie(df)
     if slice_by is None:
-        over = Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in order])
-        return df.withColumn(out, fn(col_of(value)).over(over))
+        over = Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in [*order, _TIE]])
+        return df.withColumn(out, fn(col_of(value)).over(over)).drop(_TIE)
     values = {out: value}
     rows = _with_borders(df, keys, order, values, slice_by, mode, hot_rows)
-    over = Window.partitionBy(*keys, _SLICE).orderBy(_SEED, *[F.col(c).asc() for c in order])
+    over = Window.partitionBy(*keys, _SLICE).orderBy(_SEED, *[F.col(c).asc() for c in [*order, _TIE]])
     return _drop_borders(rows.withColumn(out, fn(F.col(_held(values)[out])).over(over)), values)
 
 
@@ -144,11 +155,12 @@ def forward_fill(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Last non-null value at or before each row, per key."""
-    asc = [F.col(c).asc() for c in order]
+    df = _with_tie(df)
+    asc = [F.col(c).asc() for c in [*order, _TIE]]
     if slice_by is None:
         over = Window.partitionBy(*keys).orderBy(*asc)
         over = over.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({n: F.last(col_of(v), ignorenulls=True).over(over) for n, v in values.items()})
+        return df.withColumns({n: F.last(col_of(v), ignorenulls=True).over(over) for n, v in values.items()}).drop(_TIE)
     rows = _with_borders(df, keys, order, values, slice_by, "fill", hot_rows)
     over = Window.partitionBy(*keys, _SLICE).orderBy(_SEED, *asc)
     over = over.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -36,6 +36,38 @@ def test_null_keys_never_match(spark):
     assert got(out) == [(1, "b", "update"), (None, "s", "insert"), (None, "s", "insert"), (None, "t", "keep")]
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_absent_rows_need_a_full_join(spark):
+    t = frame(spark, [(i, "t") for i in range(50)], "k int, v string")
+    s = frame(spark, [(1, "x"), (99, "n")], "k int, v string")
+    upsert = mg.merge(t, s, ["k"], [mg.matched_update({"v": F.col("s.v")}), mg.insert_missing()], source_unique=True)
+    assert "FullOuter" not in plan(upsert) and "Window" not in plan(upsert)
+    assert "FullOuter" in plan(mg.sync(t, s, ["k"], source_unique=True))
+
+
+def test_a_small_source_is_broadcast(spark, tmp_path):
+    spark.range(200_000).select("id", F.lit("t").alias("v")).write.parquet(f"{tmp_path}/t")
+    spark.range(10).select("id", F.lit("s").alias("v")).write.parquet(f"{tmp_path}/s")
+    t, s = (spark.read.parquet(f"{tmp_path}/{n}") for n in "ts")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        out = mg.merge(t, s, ["id"], [mg.matched_update({"v": F.col("s.v")}), mg.insert_missing()], source_unique=True)
+        assert "BroadcastHashJoin [id" in plan(out) and "LeftOuter, BuildRight" in plan(out)
+        assert {r.action: r.row_count for r in mg.merge_metrics(out).collect()} == {"keep": 199_990, "update": 10}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_null_keys_with_absent_clause(spark):
+    t = frame(spark, [(None, "t"), (1, "a"), (2, "b")], "k int, v string")
+    s = frame(spark, [(None, "s"), (1, "z")], "k int, v string")
+    assert got(mg.sync(t, s, ["k"])) == [(1, "z", "update"), (2, "b", "delete"), (None, "s", "insert"), (None, "t", "delete")]
+
+
 def test_two_source_rows_for_one_target_row_fail(spark):
     t = frame(spark, [(1, "a")], "k int, v string")
     s = frame(spark, [(1, "b"), (1, "c"), (2, "d"), (2, "e")], "k int, v string")

@@ -59,3 +59,16 @@ def test_only_big_shares_are_hot(spark):
     df = spark.range(100_000).selectExpr("if(id % 3 = 0, -1, id % 20000) as key")
     assert [r.key for r in wd.hot_keys(df, ["key"], 4).collect()] == [-1]
     assert wd.hot_keys(df, ["key"]).count() == 0
+
+
+@pytest.mark.parametrize("cut", sorted(SLICES))
+@pytest.mark.parametrize("hot", [HOT, 10_000])
+def test_ties_do_not_depend_on_size(log, cut, hot):
+    """Many rows share a time, also at the border of a slice, and the order says no more."""
+    tied = log.select("id", "key", (F.col("at") / 10).cast("int").alias("at"), "value")
+    for fn in (wd.previous_value, wd.next_value):
+        plain = fn(tied, ["key"], ["at"], F.col("id"), "o")
+        assert rows(fn(tied.repartition(5), ["key"], ["at"], F.col("id"), "o", F.expr(SLICES[cut]), hot)) == rows(plain)
+    values = {"o1": F.col("value")}
+    plain = wd.forward_fill(tied, ["key"], ["at"], values)
+    assert rows(wd.forward_fill(tied.repartition(5), ["key"], ["at"], values, F.expr(SLICES[cut]), hot)) == rows(plain)
