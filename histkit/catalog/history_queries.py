@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from histkit.catalog.event_queries import ENVELOPE_SQL, envelope_type
@@ -12,6 +14,8 @@ from histkit.functions.times import local_time
 from histkit.operators import events as ev
 from histkit.operators import merge as mg
 from histkit.operators import scd2
+from histkit.plans.history_job import run_history_job
+from histkit.sources import files
 from histkit.sources.files import materialize
 
 AS_OF = "2024-02-01 00:00:00"
@@ -55,36 +59,54 @@ def change_lag_hash(spark, sf):
     )
 
 
-@query(
-    "change_lag_struct",
-    """
+CHANGE_SQL = """
     select event_id, user_id, ts, event_type, is_deleted from (
       select *, lag(event_type) over w as before, lag(is_deleted) over w as before_deleted
       from (select *, event_type = 'error' as is_deleted from events)
       window w as (partition by user_id order by ts, event_id))
     where before is null or before <> event_type or before_deleted <> is_deleted or is_deleted
-    """,
-)
+    """
+
+
+@query("change_lag_struct", CHANGE_SQL)
 def change_lag_struct(spark, sf):
+    return _changes(spark, sf, hot_rows=SMALL)
+
+
+@query("change_lag_struct_default", CHANGE_SQL)
+def change_lag_struct_default(spark, sf):
+    return _changes(spark, sf)
+
+
+def _changes(spark, sf, **hot):
     df = table(spark, sf, "events").select(
         "event_id", "user_id", "ts", "event_type", (F.col("event_type") == "error").alias("is_deleted")
     )
     return scd2.drop_sequential_unchanged(
-        df, ["user_id"], ["ts", "event_id"], tracked=["event_type"], deleted="is_deleted", slice_by=F.date_trunc("MINUTE", "ts"), hot_rows=SMALL
+        df, ["user_id"], ["ts", "event_id"], tracked=["event_type"], deleted="is_deleted", slice_by=F.date_trunc("MINUTE", "ts"), **hot
     )
 
 
-@query(
-    "validity_lead",
-    f"""
+VALIDITY_SQL = f"""
     select *, valid_to_est_timestamp = {HIGH_SQL} as is_current from (
       select o_custkey, o_orderkey, o_orderdate as valid_from_est_timestamp,
              coalesce(lead(o_orderdate) over (partition by o_custkey order by o_orderdate, o_orderkey),
                       {HIGH_SQL}) as valid_to_est_timestamp
       from orders)
-    """,
-)
+    """
+
+
+@query("validity_lead", VALIDITY_SQL)
 def validity_lead(spark, sf):
+    return _validity(spark, sf, hot_rows=SMALL)
+
+
+@query("validity_lead_default", VALIDITY_SQL)
+def validity_lead_default(spark, sf):
+    return _validity(spark, sf)
+
+
+def _validity(spark, sf, **hot):
     df = orders_log(spark, sf).select(
         "o_custkey", "o_orderkey", F.col("o_orderdate").alias("valid_from_est_timestamp")
     )
@@ -93,7 +115,7 @@ def validity_lead(spark, sf):
         ["o_custkey"],
         ["valid_from_est_timestamp", "o_orderkey"],
         slice_by=order_slices("valid_from_est_timestamp"),
-        hot_rows=SMALL,
+        **hot,
     )
 
 
@@ -177,21 +199,51 @@ DAILY_SQL = """select o_custkey, o_orderkey, o_orderstatus, o_orderdate as vf fr
                qualify row_number() over (partition by o_custkey, o_orderdate order by o_orderkey desc) = 1"""
 
 
-@query(
-    "consolidate_target",
-    f"""
+CONSOLIDATE_SQL = f"""
     with d as ({DAILY_SQL}),
          t as (select *, lead(vf) over (partition by o_custkey order by vf) is null as cur
                from d where vf < timestamp '{ORDER_CUT}'),
          m as (select o_custkey, max(vf) as newest from t group by 1)
     select d.o_custkey, d.o_orderkey, d.o_orderstatus, d.vf as valid_from_est_timestamp, false as is_current
     from d left join m using (o_custkey)
-    where d.vf >= timestamp '1998-01-01' and d.vf > coalesce(m.newest, timestamp '1970-01-01')
+    where d.vf >= timestamp '1998-01-01' and (m.newest is null or d.vf > m.newest)
     union all
-    select o_custkey, o_orderkey, o_orderstatus, vf, true from t where cur
+    select o_custkey, o_orderkey, o_orderstatus, vf, true from t where cur"""
+BATCH_KEYS = "select o_custkey from d where vf >= timestamp '1998-01-01'"
+
+
+@query("consolidate_target", f"{CONSOLIDATE_SQL} and o_custkey in ({BATCH_KEYS})")
+def consolidate_target(spark, sf):
+    batch, target = _batch_and_target(spark, sf)
+    rows = scd2.consolidate(batch, target, ["o_custkey"])
+    return rows.select("o_custkey", "o_orderkey", "o_orderstatus", "valid_from_est_timestamp", "is_current")
+
+
+@query("consolidate_all_current", CONSOLIDATE_SQL)
+def consolidate_all_current(spark, sf):
+    batch, target = _batch_and_target(spark, sf)
+    rows = scd2.consolidate(batch, target, ["o_custkey"], all_current=True)
+    return rows.select("o_custkey", "o_orderkey", "o_orderstatus", "valid_from_est_timestamp", "is_current")
+
+
+@query(
+    "late_events",
+    f"""
+    with d as ({DAILY_SQL}),
+         t as (select *, lead(vf) over (partition by o_custkey order by vf) is null as cur
+               from d where vf < timestamp '{ORDER_CUT}'),
+         m as (select o_custkey, max(vf) as newest from t group by 1)
+    select d.o_custkey, d.o_orderkey, d.vf as valid_from_est_timestamp from d join m using (o_custkey)
+    where d.vf >= timestamp '1998-01-01' and d.vf <= m.newest
     """,
 )
-def consolidate_target(spark, sf):
+def late_events(spark, sf):
+    """What the batch brings too late, for a reject table."""
+    batch, target = _batch_and_target(spark, sf)
+    return scd2.late_events(batch, target, ["o_custkey"]).select("o_custkey", "o_orderkey", "valid_from_est_timestamp")
+
+
+def _batch_and_target(spark, sf):
     log = daily_orders(spark, sf).drop("o_orderpriority")
     at = F.col("valid_from_est_timestamp")
     target = scd2.build_validity(log.where(at < F.lit(ORDER_CUT).cast("timestamp_ntz")), ["o_custkey"])
@@ -199,8 +251,7 @@ def consolidate_target(spark, sf):
     batch = log.where(at >= F.lit("1998-01-01").cast("timestamp_ntz")).withColumns(
         {"valid_to_est_timestamp": F.lit(None).cast("timestamp_ntz"), "is_current": F.lit(False)}
     )
-    rows = scd2.consolidate(batch, target, ["o_custkey"])
-    return rows.select("o_custkey", "o_orderkey", "o_orderstatus", "valid_from_est_timestamp", "is_current")
+    return batch, target
 
 
 HOURLY_SQL = """select event_id, user_id, event_type, value, ts - interval 5 hour as vf, event_type = 'error' as is_deleted
@@ -332,6 +383,23 @@ def scd2_incremental(spark, sf):
     return flat_history(mg.merged_rows(mg.merge_scd2_current(first, delta, ["user_id"])))
 
 
+@query("history_job_delta", full_sql(HOURLY_SQL))
+def history_job_delta(spark, sf):
+    """The whole job: a first load and two deltas into a versioned target equal one rebuild."""
+    base = files.scratch_dir(spark, "user-history")
+    spec = replace(job(), write=replace(job().write, to_table=base))
+    log = crud_events(spark, sf)
+    cuts = [None, "2024-01-12 05:00:00", "2024-01-21 05:00:00", None]
+    for n, (start, end) in enumerate(zip(cuts, cuts[1:])):
+        batch = log
+        if start is not None:
+            batch = batch.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+        if end is not None:
+            batch = batch.where(F.col("ts") < F.lit(end).cast("timestamp_ntz"))
+        run_history_job(spark, spec, batch, n + 1, AS_OF, project_user, first_load=n == 0)
+    return flat_history(files.read_snapshot(spark, base))
+
+
 @query(
     "scd2_deletes",
     f"""

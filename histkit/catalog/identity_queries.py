@@ -242,7 +242,7 @@ def _as_target(line):
         "address_struct",
         individual.alias("individual_id"),
         F.col("id_source").alias("individual_id_source"),
-        F.struct(*[F.col(c) for c in tl.INFO_FIELDS]).alias("additional_info_struct"),
+        F.struct(*[F.col(c).alias(f) for f, c in tl.INFO_FIELDS.items()]).alias("additional_info_struct"),
     )
 
 
@@ -451,7 +451,7 @@ def unified_history(spark, sf):
             "is_deleted",
             f"{info}.billing_profile_id",
             f"{info}.subscription_id",
-            F.col(f"{info}.legacy_account_id").alias("linked_account_id"),
+            F.col(f"{info}.linked_legacy_account_id").alias("linked_account_id"),
         )
     )
 
@@ -476,7 +476,7 @@ def prior_person(spark, sf):
             "identity_id",
             "valid_from_est_timestamp",
             "person_id",
-            F.col("prior_person_struct.person_id").alias("prior_person_id"),
+            "prior_person_struct.prior_person_id",
             "prior_person_struct.change_est_timestamp",
         )
     )
@@ -675,7 +675,7 @@ def subscription_sql(event_cond: str, legacy_cond: str) -> str:
 
 
 def _subscription_stage(spark, sf, driven_by, window):
-    raw = _envelope(spark, sf).where("event_type <> 'error'").withColumns(
+    raw = _envelope(spark, sf).withColumns(
         {
             "subscriptionId": F.col("event_id"),
             "owner": F.struct(F.col("user_id").alias("identityId")),
@@ -730,7 +730,8 @@ def stage_legacy_subscription(spark, sf):
       (select identity_id, valid_from_date_hour from hist2 group by all having count(*) > 1)
     union all select 'legacy accounts are unique', count(*) from (
       select account_id from dev where account_id is not null group by 1 having count(distinct individual_id is null) > 1)
-    union all select 'legacy accounts are covered', 0
+    union all select 'legacy accounts are covered', count(*) from dev where subscription_id is not null
+      and not exists (select 1 from dev d where d.account_id = dev.account_id)
     union all select 'individuals are unique persons', count(*) from (
       select individual_id from p4 where individual_id is not null group by 1 having count(*) > 1)
     union all select 'every history row has a person', count(*) from hist2 where person_id is null""",

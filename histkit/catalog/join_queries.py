@@ -80,7 +80,7 @@ def latest_snapshot(spark, sf):
 )
 def not_in_keys(spark, sf):
     done = table(spark, sf, "orders").where("o_orderstatus = 'F'").select("o_custkey")
-    some = done.unionByName(done.limit(1).select(F.lit(None).cast("bigint").alias("o_custkey")))
+    some = done.unionByName(spark.range(1).select(F.lit(None).cast("bigint").alias("o_custkey")))
     return jn.not_in(table(spark, sf, "customer").select("c_custkey"), some, "c_custkey", "o_custkey")
 
 
@@ -478,11 +478,27 @@ SIGNUPS = """select user_id, event_id, props->>'k' as k, ts - interval 5 hour as
     """,
 )
 def pit_join(spark, sf):
+    return _signup_at(spark, sf, hot_rows=8)
+
+
+@query(
+    "pit_join_default",
+    f"""
+    with h as ({SIGNUPS}), s as (select event_id, user_id, event_type, ts - interval 5 hour as at from events)
+    select s.*, h.event_id as signup_id, h.k as signup_k from s left join h
+      on h.user_id = s.user_id and s.at >= h.vf and s.at < h.vt
+    """,
+)
+def pit_join_default(spark, sf):
+    return _signup_at(spark, sf)
+
+
+def _signup_at(spark, sf, **hot):
     log = table(spark, sf, "events").withColumns({"at": local_time("ts"), "k": prop()})
     signups = log.where("event_type = 'signup'").select(
         "user_id", "event_id", "k", F.col("at").alias("valid_from_est_timestamp")
     )
-    history = scd2.build_validity(signups, ["user_id"], slice_by=F.date_trunc("MINUTE", "valid_from_est_timestamp"), hot_rows=8)
+    history = scd2.build_validity(signups, ["user_id"], slice_by=F.date_trunc("MINUTE", "valid_from_est_timestamp"), **hot)
     history = materialize(history, "history")
     spine = log.select("event_id", "user_id", "event_type", "at")
     return jn.pit_join(
@@ -494,7 +510,7 @@ def pit_join(spark, sf):
         "valid_from_est_timestamp",
         "valid_to_est_timestamp",
         slice_by=F.date_trunc("MINUTE", "at"),
-        hot_rows=8,
+        **hot,
     )
 
 

@@ -371,6 +371,29 @@ def fact_between_join(spark, sf):
     return jn.range_join(fact, dim, {"srvc_id": "srvc_id"}, "at", "eff", "exp", {"srvc_key": "srvc_key"})
 
 
+LONG_SQL = """
+    select o_custkey as srvc_id, o_orderkey as srvc_key, o_orderdate as eff,
+           case when o_orderkey % 7 = 0 then timestamp '9999-12-31' else o_orderdate + to_days((o_orderkey % 5 * 400)::integer) end as exp from orders"""
+
+
+@query(
+    "fact_long_versions",
+    f"""
+    with v as ({LONG_SQL}), f as (select o_orderkey as fact_key, o_custkey as srvc_id, o_orderdate + interval 200 day as at from orders)
+    select f.fact_key, f.srvc_id, f.at, v.srvc_key from f left join v
+      on v.srvc_id = f.srvc_id and f.at >= v.eff and f.at < v.exp
+    """,
+)
+def fact_long_versions(spark, sf):
+    """Versions of a service overlap for years or have no end; the end itself is left out."""
+    key, start = F.col("o_orderkey"), F.col("o_orderdate")
+    orders = table(spark, sf, "orders")
+    fact = orders.select(key.alias("fact_key"), F.col("o_custkey").alias("srvc_id"), (start + F.expr("INTERVAL '200' DAY")).alias("at"))
+    end = F.when(key % 7 == 0, F.lit("9999-12-31").cast("timestamp_ntz")).otherwise(start + F.make_dt_interval((key % 5 * 400).cast("int")))
+    dim = orders.select(F.col("o_custkey").alias("srvc_id"), key.alias("srvc_key"), start.alias("eff"), end.alias("exp"))
+    return jn.range_join(fact, dim, {"srvc_id": "srvc_id"}, "at", "eff", "exp", {"srvc_key": "srvc_key"}, closed=False)
+
+
 RAW_SQL = """
     select l_orderkey as row_id, l_linenumber as line_id,
            case when l_linenumber = 1 then '' else ' ' || l_partkey || ' ' end as part_txt,

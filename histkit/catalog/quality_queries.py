@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from histkit.catalog.history_queries import AS_OF, HOURLY_SQL, flat_history, full_sql, job, project_user
@@ -10,6 +12,8 @@ from histkit.catalog.registry import ntz, query, table
 from histkit.operators import events as ev
 from histkit.operators import quality as dq
 from histkit.operators import scd2
+from histkit.plans.history_job import run_history_job
+from histkit.plans.pull import run_pull
 from histkit.sources import files, watermark
 from histkit.streaming.incremental import load_new_files
 
@@ -201,14 +205,51 @@ def snapshot_versions(spark, sf):
 
 @query("scd2_streamed", full_sql(HOURLY_SQL))
 def scd2_streamed(spark, sf):
-    """The history job over event files found by the streaming file source."""
-    out, checkpoint = files.scratch_dir(spark, "history"), files.scratch_dir(spark, "stream")
+    """The history job over event files found by the streaming file source, one file per batch."""
+    source, out, checkpoint = (files.scratch_dir(spark, n) for n in ("event-files", "history", "stream"))
+    log, at = table(spark, sf, "events"), F.col("ts")
+    cuts = [F.lit(c).cast("timestamp_ntz") for c in ("2024-01-11 05:00:00", "2024-01-21 05:00:00")]
+    for part in (at < cuts[0], (at >= cuts[0]) & (at < cuts[1]), at >= cuts[1]):
+        log.where(part).coalesce(1).write.mode("append").parquet(source)
+    spec = replace(job(), write=replace(job().write, to_table=out))
 
     def load(batch, batch_id):
         batch = batch.withColumn("envelope_type", envelope_type())
-        rows = scd2.scd2_pipeline(batch, None, job(), AS_OF, project_user)
-        files.write_snapshot(rows, out, batch_id)
+        run_history_job(spark, spec, batch, batch_id + 1, AS_OF, project_user, first_load=batch_id == 0)
 
-    schema = table(spark, sf, "events").schema
-    load_new_files(spark, f"{sf}/events*.parquet", schema, load, checkpoint).awaitTermination()
+    load_new_files(spark, source, log.schema, load, checkpoint, max_files=1).awaitTermination()
     return flat_history(files.read_snapshot(spark, out))
+
+
+@query(
+    "pull_export",
+    """
+    with t as (select c_custkey as k, c_name as v from customer where c_custkey % 3 = 0),
+         s as (select o_custkey as k, max_by(o_orderpriority, (o_orderdate, o_orderkey)) as v from orders group by 1)
+    select coalesce(t.k, s.k) as k, coalesce(s.v, t.v) as v from t full join s using (k)
+    """,
+)
+def pull_export(spark, sf):
+    """An hourly export with several rows per key, pulled into a versioned target."""
+    base, target, mark = (files.scratch_dir(spark, n) for n in ("export", "pulled", "mark"))
+    kept = table(spark, sf, "customer").where("c_custkey % 3 = 0")
+    files.write_snapshot(kept.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("v")), target, 1)
+    rows = table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderpriority").alias("v"), "o_orderdate", "o_orderkey")
+    run = "2024-03-01 04:00:00"
+    rows.write.parquet(files.hour_path(base, run))
+    run_pull(spark, base, target, ["k"], run, 2, "o_orderdate", mark, {"o_orderdate": False, "o_orderkey": False})
+    return files.read_snapshot(spark, target)
+
+
+@query(
+    "watermark_cycle",
+    """with m as (select max(o_orderdate) as w from orders where o_orderdate < timestamp '1998-01-01')
+       select o_orderkey, o_orderdate from orders, m where o_orderdate > w""",
+)
+def watermark_cycle(spark, sf):
+    """A load stores how far it came; the next one reads what is newer."""
+    mark = files.scratch_dir(spark, "mark")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    first = orders.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    watermark.advance_watermark(first, "o_orderdate", mark)
+    return watermark.newer_than(orders, "o_orderdate", watermark.read_watermark(spark, mark, required=True))

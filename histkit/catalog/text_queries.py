@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from histkit.catalog.registry import query, table
 from histkit.operators import textrules as tr
 
+# The rules, marks and status texts of this module's SQL, as the operators have them.
 # Script text around a document: (literal or column) pieces. ' is doubled in SQL only.
 HEAD = "/* generated\n from "
 BODY = """ */
@@ -15,6 +16,8 @@ SET intcntr = intcntr ;
 SET strSTEP = 'Step' || 4;
 INSERT INTO DP_MEDW.log VALUES (1, 'x');
 UPDATE DP_MEDW.log SET a = 1 WHERE spName = 'p';
+CALL EDW_Env\\.sp_InsertQuery('q');
+CALL EDW_Env\\.sysexecsql(:strSQLCmd);
 
 
 
@@ -90,6 +93,8 @@ def _noise(x: str) -> str:
         (r"(?m)^\s*SET\s+ReturnCode\s*=\s*SQLSTATE\s*;", "gi"),
         (r"INSERT\s+INTO\s+DP_MEDW\..*?\);", "gis"),
         (r"UPDATE\s+DP_MEDW\..*?WHERE\s+spName\s*=\s*.*?;", "gis"),
+        (r"(?m)^\s*CALL\s+EDW_Env\\.sp_InsertQuery\(.*\);", "gi"),
+        (r"(?m)^\s*CALL\s+EDW_Env\\.sysexecsql\(:strSQLCmd\);", "gi"),
         (r"\n{3,}", "g"),
     ):
         x = STRIP.format(f"regexp_replace({x}, '{pattern}', '', '{flags}')")

@@ -112,14 +112,14 @@ def range_join(
     versions = versions.withColumn("_bucket", F.explode("_buckets")).drop("_buckets")
 
     clock = _seconds(left, at)
-    points = left.select(*[F.col(l).alias(f"_p_{l}") for l in keys], F.col(at).alias("_at"), clock.alias("_clock"))
-    points = points.where(F.col("_at").isNotNull()).distinct()
+    points = left.select(*[F.col(l).alias(f"_p_{l}") for l in keys], F.col(at).alias("_p_time"), clock.alias("_clock"))
+    points = points.where(F.col("_p_time").isNotNull()).distinct()
     points = points.withColumn("_n", F.explode(used)).withColumn("_b", bucket(F.col("_clock"), F.col("_n")))
-    before_end = F.col("_at") <= F.col("_hi") if closed else F.col("_at") < F.col("_hi")
+    before_end = F.col("_p_time") <= F.col("_hi") if closed else F.col("_p_time") < F.col("_hi")
     on = [F.col(f"_p_{l}") == F.col(f"_k_{l}") for l in keys]
-    on += [F.col("_n") == F.col("_level"), F.col("_b") == F.col("_bucket"), F.col("_at") >= F.col("_lo"), before_end]
-    hits = points.join(versions, on).select(*[f"_p_{l}" for l in keys], "_at", *[f"_o_{o}" for o in take])
-    back = [F.col(l) == F.col(f"_p_{l}") for l in keys] + [F.col(at) == F.col("_at")]
+    on += [F.col("_n") == F.col("_level"), F.col("_b") == F.col("_bucket"), F.col("_p_time") >= F.col("_lo"), before_end]
+    hits = points.join(versions, on).select(*[f"_p_{l}" for l in keys], "_p_time", *[f"_o_{o}" for o in take])
+    back = [F.col(l) == F.col(f"_p_{l}") for l in keys] + [F.col(at) == F.col("_p_time")]
     return left.join(hits, back, "left").select(*left.columns, *[F.col(f"_o_{o}").alias(o) for o in take])
 
 

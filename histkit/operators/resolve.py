@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from histkit.functions.casts import nullable
 from histkit.functions.nested import match_flag
-from histkit.functions.times import OPEN_END, col_of, open_end, trunc_hour
+from histkit.functions.times import DEFAULT_ZONE, OPEN_END, col_of, local_time, open_end, timestamp_literal, trunc_hour
 from histkit.operators.events import top_rank
 from histkit.operators.joins import missing_keys
 from histkit.operators.merge import merge_if_different, merged_rows
@@ -213,7 +214,15 @@ def _key(name: str) -> Column:
     return F.col(name).cast("string")
 
 
-def identity_history(timeline: DataFrame, person: DataFrame, labels: Labels = DEFAULT_LABELS) -> DataFrame:
+def load_times(as_of: str | datetime | None, zone: str = DEFAULT_ZONE) -> Column:
+    """The audit struct of the identity tables: local time of the load, twice; null without one."""
+    now = F.lit(None).cast("timestamp") if as_of is None else local_time(timestamp_literal(as_of), zone)
+    return F.struct(now.alias("etl_create_est_timestamp"), now.alias("etl_update_est_timestamp")).alias("etl_metadata_struct")
+
+
+def identity_history(
+    timeline: DataFrame, person: DataFrame, labels: Labels = DEFAULT_LABELS, as_of: str | datetime | None = None
+) -> DataFrame:
     """Timeline rows of all four classes with their person, best-attribute flags and prior person.
 
     Each class looks the person up by its own key; one join on (kind of key, key) serves all
@@ -280,11 +289,12 @@ def identity_history(timeline: DataFrame, person: DataFrame, labels: Labels = DE
         F.col("valid_to_date_hour").alias("valid_to_est_timestamp"),
         "is_current",
         F.col("is_identity_deleted").alias("is_deleted"),
-        F.struct(*[F.col(f) for f in INFO_FIELDS]).alias("additional_info_struct"),
+        F.struct(*[F.col(c).alias(f) for f, c in INFO_FIELDS.items()]).alias("additional_info_struct"),
         F.struct(
-            F.when(moved, F.col("_prior")).alias("person_id"),
+            F.when(moved, F.col("_prior")).alias("prior_person_id"),
             F.when(moved, F.col(HOUR)).alias("change_est_timestamp"),
         ).alias("prior_person_struct"),
+        load_times(as_of),
     )
 
 
@@ -295,6 +305,7 @@ def legacy_account_history(
     labels: Labels = DEFAULT_LABELS,
     updated: str = "update_est_timestamp",
     high: str = OPEN_END,
+    as_of: str | datetime | None = None,
 ) -> DataFrame:
     """Open history rows of legacy accounts, with and without an individual."""
     end = open_end(devices.schema[updated].dataType, high)
@@ -345,4 +356,5 @@ def legacy_account_history(
         *[c for c in rows.columns if c != "account_id"],
         end.alias("valid_to_est_timestamp"),
         F.lit(True).alias("is_current"),
+        load_times(as_of),
     )

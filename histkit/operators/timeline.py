@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -187,8 +188,11 @@ def unified_timeline_delta(
         "address_struct",
         "individual_id",
         "individual_id_source",
-        *[F.col(f"{info}.{f}").alias(f"i_{f}") for f in INFO_FIELDS],
+        *[F.col(f"{info}.{f}").alias(f"i_{c}") for f, c in INFO_FIELDS.items()],
     )
+    # Only identities of the batch are looked at: the stored history of all others stays where it is.
+    batch = reduce(DataFrame.union, [df.select(key) for df in stages.values()]).distinct()
+    target = target.join(batch, key, "left_semi")
     take = {f"_u_{c}": c for c in target.columns if c != key}
     rows = pit_join(
         rows, target, [key], HOUR, take, "valid_from_est_timestamp", "valid_to_est_timestamp"
@@ -238,17 +242,17 @@ def unified_timeline_delta(
     return _classified(rows.select(key, HOUR, *[c.alias(n) for n, c in out.items()]), labels)
 
 
-# Fields of a history row's additional_info_struct, in order.
-INFO_FIELDS = (
-    "billing_profile_id",
-    "subscription_id",
-    "legacy_subscription_id",
-    "identity_valid_from",
-    "billing_valid_from",
-    "household_valid_from",
-    "subscription_valid_from",
-    "is_billing_deleted",
-    "is_household_deleted",
-    "is_subscription_deleted",
-    "legacy_account_id",
-)
+# Fields of a history row's additional_info_struct, in order -> timeline column.
+INFO_FIELDS = {
+    "billing_profile_id": "billing_profile_id",
+    "subscription_id": "subscription_id",
+    "legacy_subscription_id": "legacy_subscription_id",
+    "identity_valid_from_est_timestamp": "identity_valid_from",
+    "billing_profile_valid_from_est_timestamp": "billing_valid_from",
+    "household_link_valid_from_est_timestamp": "household_valid_from",
+    "subscription_valid_from_est_timestamp": "subscription_valid_from",
+    "is_billing_profile_deleted": "is_billing_deleted",
+    "is_household_link_deleted": "is_household_deleted",
+    "is_subscription_deleted": "is_subscription_deleted",
+    "linked_legacy_account_id": "legacy_account_id",
+}

@@ -13,6 +13,7 @@ from histkit.operators.joins import Lookup, enrich, latest_snapshot
 ENDED = ("closed", "cancelled", "finished")
 
 
+# The status words of the two rule lists below.
 def service_status_rules(state: Column, accepted: Column, trial: Column, linked: Column, current: Column) -> list:
     """Service status of a device; the first rule that holds wins."""
     ended = trial.isin(*ENDED)

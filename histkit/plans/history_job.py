@@ -6,13 +6,14 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from histkit.config import JobSpec
 from histkit.functions.times import local_time, timestamp_literal
 from histkit.operators import events as ev
-from histkit.operators.merge import merge_scd2_current, merged_rows
-from histkit.operators.scd2 import scd2_pipeline
-from histkit.sources.files import materialize, read_snapshot, read_tables, write_snapshot
+from histkit.operators.merge import merge_scd2, merged_rows
+from histkit.operators.scd2 import DEFAULT_COLUMNS, scd2_pipeline
+from histkit.sources.files import append_history, materialize, read_open, read_snapshot, read_tables, write_history
 from histkit.sources.watermark import advance_watermark, read_watermark
 
 
@@ -51,20 +52,24 @@ def run_history_job(
     first_load: bool = False,
     **pipeline,
 ) -> None:
-    """Write version ``version`` of the target under ``to_table``; a repeated run rewrites it.
+    """Write version ``version`` of the target under ``to_table``; a repeated run replaces it.
 
     A backfill or first load replaces the target; otherwise the batch is merged into the
-    newest earlier version. The watermark moves only after the target was written.
+    newest earlier version. A delta load reads the closed rows only for the newest start of
+    the batch's keys and never writes them again: it writes the open rows and those it
+    closes. The watermark moves only after the target was written.
     """
-    base = spec.write.to_table
+    base, cols = spec.write.to_table, pipeline.get("cols", DEFAULT_COLUMNS)
     pipeline.setdefault("store", materialize)
+    is_open = F.col(cols.is_current)
     if spec.full_reload or first_load:
-        rows = scd2_pipeline(events, None, spec, as_of, project, **pipeline)
+        write_history(scd2_pipeline(events, None, spec, as_of, project, **pipeline), base, version, is_open)
     else:
         target = read_snapshot(spark, base, before=version)
         delta = scd2_pipeline(events, target, spec, as_of, project, **pipeline)
         now = local_time(timestamp_literal(as_of), spec.zone)
-        rows = merged_rows(merge_scd2_current(target, delta, spec.write.target_keys, now))
-    write_snapshot(rows, base, version)
+        live = read_open(spark, base, before=version)
+        rows = merged_rows(merge_scd2(live, delta, spec.write.target_keys, now, cols, source_unique=True))
+        append_history(rows, base, version, is_open)
     if spec.read.job_metadata_location is not None:
         advance_watermark(events, spec.read.event_ts_col, spec.read.job_metadata_location)

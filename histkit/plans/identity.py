@@ -179,6 +179,7 @@ def identity_load(
     devices: DataFrame,
     individuals: DataFrame,
     labels: Labels = DEFAULT_LABELS,
+    as_of: str | datetime | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Full load: (new person table, identity history including legacy accounts).
 
@@ -187,14 +188,17 @@ def identity_load(
     """
     line = materialize(unified_timeline(stages, labels=labels), "timeline")
     people = materialize(resolve_persons(person, line, devices, individuals, labels), "person")
-    return people, full_history(line, people, devices, individuals, labels)
+    return people, full_history(line, people, devices, individuals, labels, as_of)
 
 
 def full_history(
-    line: DataFrame, people: DataFrame, devices: DataFrame, individuals: DataFrame, labels: Labels = DEFAULT_LABELS
+    line: DataFrame, people: DataFrame, devices: DataFrame, individuals: DataFrame, labels: Labels = DEFAULT_LABELS, as_of: str | datetime | None = None
 ) -> DataFrame:
     return union_all(
-        [identity_history(line, people, labels), legacy_account_history(devices, individuals, people, labels)]
+        [
+            identity_history(line, people, labels, as_of),
+            legacy_account_history(devices, individuals, people, labels, as_of=as_of),
+        ]
     )
 
 

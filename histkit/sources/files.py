@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,16 +16,17 @@ from histkit.functions.times import as_datetime
 from histkit.operators.events import union_all
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared folder of ``spark.checkpoint.dir``.
+#: Used only where the session sets no ``spark.checkpoint.dir`` and Spark runs in one process.
+LOCAL_FOLDER = "/tmp/checkpoints"
 
-    Without that setting a local folder is used, but only when Spark itself is local.
-    """
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared folder of ``spark.checkpoint.dir``, which a cluster must set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="histkit-")
+        base = LOCAL_FOLDER
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -144,14 +146,77 @@ def write_target(df: DataFrame, target: str, mode: str = "overwrite", partition_
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(target)
 
 
+# A versioned table is a folder of parts and a folder of manifests. A version is committed by one
+# small manifest file, written last; it names every part that is live. Parts are never changed.
+_MANIFEST = "version int, attempt int, schema string, parts array<struct<name: string, closed: boolean>>"
+_OPEN = "_open"
+
+
+def _manifest(spark: SparkSession, base: str, before: int | None = None):
+    """The newest manifest (of a version below ``before``), or None."""
+    try:
+        rows = spark.read.schema(_MANIFEST).parquet(f"{base.rstrip('/')}/manifest")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    if before is not None:
+        rows = rows.where(F.col("version") < before)
+    return rows.orderBy(F.desc("version"), F.desc("attempt")).first()
+
+
+def _write_part(df: DataFrame, base: str, version: int, open_rows: Column | None) -> str:
+    name = f"v{int(version)}-{uuid.uuid4().hex}"
+    is_open = F.lit(True) if open_rows is None else F.coalesce(open_rows, F.lit(False))
+    df.withColumn(_OPEN, is_open).write.partitionBy(_OPEN).parquet(f"{base.rstrip('/')}/part={name}")
+    return name
+
+
+def _commit(spark: SparkSession, base: str, version: int, schema: T.StructType, parts: list[tuple[str, bool]]) -> None:
+    """``parts``: name and whether only its closed rows are live. Concurrent readers see the manifest before or this one."""
+    last = _manifest(spark, base, int(version) + 1)
+    attempt = last.attempt + 1 if last is not None and last.version == int(version) else 1
+    row = spark.createDataFrame([(int(version), attempt, schema.json(), parts)], _MANIFEST)
+    row.coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/manifest")
+
+
+def _live(spark: SparkSession, base: str, manifest) -> DataFrame:
+    schema = T.StructType.fromJson(json.loads(manifest.schema))
+    base = base.rstrip("/")
+    paths = [f"{base}/part={p.name}" for p in manifest.parts]
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("part", T.StringType()), T.StructField(_OPEN, T.BooleanType())])).option("basePath", base).parquet(*paths)
+    whole = [p.name for p in manifest.parts if not p.closed]
+    return rows.where(~F.col(_OPEN) | F.col("part").isin(whole))
+
+
 def write_snapshot(df: DataFrame, base: str, version: int) -> None:
-    """Write a new version of a table next to the one being read; a repeated run rewrites its own."""
-    df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/version={int(version)}")
+    """Write a new version of a whole table next to the ones being read."""
+    part = _write_part(df, base, version, None)
+    _commit(df.sparkSession, base, version, df.schema, [(part, False)])
+
+
+def write_history(df: DataFrame, base: str, version: int, is_open: Column) -> None:
+    """Write the first version of a history, its open and closed rows apart."""
+    part = _write_part(df, base, version, is_open)
+    _commit(df.sparkSession, base, version, df.schema, [(part, False)])
+
+
+def append_history(df: DataFrame, base: str, version: int, is_open: Column) -> None:
+    """A version whose open rows and newly closed rows are ``df``; the rows closed before stay
+    where they are. A repeated run builds on the version before it, as the first run did."""
+    before = _manifest(df.sparkSession, base, version)
+    part = _write_part(df, base, version, is_open)
+    _commit(df.sparkSession, base, version, df.schema, [*[(p.name, True) for p in before.parts], (part, False)])
 
 
 def read_snapshot(spark: SparkSession, base: str, before: int | None = None) -> DataFrame:
     """The newest committed version (older than ``before``). Unfinished writes are invisible."""
-    versions = spark.read.parquet(base)
-    if before is not None:
-        versions = versions.where(F.col("version") < before)
-    return versions.where(F.col("version") == versions.agg(F.max("version")).scalar()).drop("version")
+    manifest = _manifest(spark, base, before)
+    if manifest is None:
+        raise LookupError(f"no committed version at {base}")
+    return _live(spark, base, manifest).drop("part", _OPEN)
+
+
+def read_open(spark: SparkSession, base: str, before: int | None = None) -> DataFrame:
+    """Only the open rows of that version: the folders of closed rows are not read."""
+    return _live(spark, base, _manifest(spark, base, before)).where(F.col(_OPEN)).drop("part", _OPEN)

@@ -208,3 +208,13 @@ def test_plan_is_declarative(spark):
     df = spark.createDataFrame([event(1, 0, "Created", "a")], SCHEMA)
     plan = scd2.scd2_pipeline(df, None, SPEC, "2024-03-01", project)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Python" not in plan.replace("PythonRDD", "")
+
+
+def test_consolidate_takes_the_batch_keys_only(spark):
+    target = build(spark, [event(i, 0, "Created", "a") for i in range(20)])
+    batch = build(spark, [event(3, 5, "Updated", "b"), event(77, -10**6, "Created", "old"), event(4, -5, "Updated", "late")])
+    batch = batch.select(*target.columns)
+    rows = scd2.consolidate(batch, target, ["id"]).collect()
+    assert sorted((r.id, r.payload) for r in rows) == [(3, "a"), (3, "b"), (4, "a"), (77, "old")]
+    assert [(r.id, r.payload) for r in scd2.late_events(batch, target, ["id"]).collect()] == [(4, "late")]
+    assert scd2.consolidate(batch, target, ["id"], all_current=True).count() == 22

@@ -92,15 +92,57 @@ def test_stream_of_files_equals_batches(spark, tmp_path):
     assert flat(files.read_snapshot(spark, out)) == flat(full)
 
 
+def test_delta_loads_leave_closed_files_alone(spark, tmp_path):
+    base = str(tmp_path / "target")
+    spec = JobSpec(SPEC.read, replace(SPEC.write, to_table=base))
+
+    def load(rows, version, **more):
+        history_job.run_history_job(spark, spec, spark.createDataFrame(rows, EVENT_SCHEMA), version, "2024-03-01", project, **more)
+
+    first = [event(i, h, "Updated", f"{h}") for i in range(5) for h in range(3)]
+    second, third = [event(1, 9, "Updated", "x"), event(99, -10**6, "Created", "old")], [event(2, 9, "Deleted", "2")]
+    load(first, 1, first_load=True)
+    files_then = {p: p.stat().st_mtime_ns for p in (tmp_path / "target").rglob("part=*/**/*.parquet")}
+    early = files.read_snapshot(spark, base)
+    n = early.count()
+    load(second, 2)
+    load(third, 3)
+    load(third, 3)  # a repeated run
+    assert all(p.stat().st_mtime_ns == t for p, t in files_then.items())
+    assert early.count() == n  # whoever read the first version still can
+    full = history_job.scd2_pipeline(spark.createDataFrame(first + second + third, EVENT_SCHEMA), None, spec, "2024-03-01", project)
+    assert flat(files.read_snapshot(spark, base)) == flat(full)
+    assert files.read_open(spark, base).count() == full.where("is_current").count()
+    assert files.read_snapshot(spark, base, before=3).count() < full.count()
+
+
+def test_a_broken_write_is_invisible(spark, tmp_path):
+    base = str(tmp_path / "t")
+    with pytest.raises(LookupError):
+        files.read_snapshot(spark, base)
+    files.write_snapshot(spark.range(3), base, 1)
+    spark.range(9).withColumn("_open", F.lit(True)).write.partitionBy("_open").parquet(f"{base}/part=v2-unfinished")
+    assert files.read_snapshot(spark, base).count() == 3
+    files.write_snapshot(spark.range(0), base, 2)
+    assert files.read_snapshot(spark, base).count() == 0 and files.read_snapshot(spark, base, before=2).count() == 3
+
+
+def test_table_targets(spark, tmp_path):
+    spark.sql("drop table if exists histkit_target")
+    files.write_target(spark.range(3).select("id", F.lit("a").alias("v")), "histkit_target")
+    files.write_target(spark.range(2).select(F.lit("b").alias("v"), F.col("id")), "histkit_target", "append")
+    assert spark.table("histkit_target").groupBy("v").count().orderBy("v").collect() == [("a", 3), ("b", 2)]
+    spark.sql("drop table histkit_target")
+
+
 def test_agent_extract_load_and_sync(spark):
-    lines = [x.split(" ") for x in agent._AGENT.split("\n") if x]
-    cols = {c for _, c, _ in lines} | {"Agn_Supr_Rec_Key"}
+    cols = {c for c, _ in agent.AGENT_COLUMNS.values()} | {"Agn_Supr_Rec_Key"}
     def make(i, sup, name, at):
         row = dict.fromkeys(cols)
         row |= {"Agn_Rec_Key": i, "CSR_ID": str(i), "Agn_Supr_CSR_ID": str(sup), "Agn_Supr_Rec_Key": sup, "Agn_Fst_NM": name, "updt_ts": at}
         return row
     types = {"Agn_Rec_Key": "int", "Agn_Supr_Rec_Key": "int", "updt_ts": "timestamp_ntz"}
-    types |= {c: "date" for _, c, kind in lines if kind == "date"} | {"Agn_Role_End_Dt": "date"}
+    types |= {c: "date" for c, missing in agent.AGENT_COLUMNS.values() if missing == agent.OPEN_DATE} | {"Agn_Role_End_Dt": "date"}
     schema = ", ".join(f"{c} {types.get(c, 'string')}" for c in sorted(cols))
     day = datetime(9999, 12, 31).date()
     rows = [make(1, 9, "boss", T0), make(2, 1, None, T0 + timedelta(days=1)), make(3, 1, "c", T0 + timedelta(days=2))]
@@ -129,7 +171,7 @@ def test_pull_of_an_hourly_export(spark, tmp_path):
 
 
 def test_trial_fact_load(spark):
-    fields = trial_fact.fact_fields()
+    fields = trial_fact.FACT_FIELDS
     assert len(fields) > 100
     stage_cols = sorted({f.source for f in fields.values() if not f.source.startswith("_")} | {"dvc_id", "dvc_id_actl", "opp_in"})
     base = dict.fromkeys(stage_cols)

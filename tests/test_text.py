@@ -82,3 +82,18 @@ def test_statements(sides):
 def test_one_pass_without_python(sides):
     plan = tr.script_statements(*sides)._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_calls_with_a_backslash_are_cleaned_away(spark):
+    text = "a\nCALL EDW_Env\\.sp_InsertQuery('x', 1);\nb\n call edw_env\\!sysexecsql(:strSQLCmd);\nCALL EDW_Env.sp_InsertQuery(1);"
+    df = spark.createDataFrame([(text,)], "text string")
+    assert df.select(tr.apply_rules("text", tr.NOISE_RULES)).first()[0] == "a\n\nb\n\nCALL EDW_Env.sp_InsertQuery(1);"
+
+
+def test_rules_run_once_per_text(spark):
+    scripts = spark.createDataFrame([(1, "x")], "doc_id int, text string")
+    names = ["Env_Name", "Env_JobName", "Env_Flag", "Env_Src", "Env_Tgt", "Env_LoadDB", "Env_MacDB", "Env_WrkDB", "Env_UtlDB", "Env_VDB"]
+    env = spark.createDataFrame([tuple("x" for _ in names)], ", ".join(f"{n} string" for n in names))
+    plan = tr.script_statements(scripts, env)._jdf.queryExecution().optimizedPlan().toString()
+    rules = [r for r in tr.NORMALIZE_RULES + tr.NOISE_RULES + tr.CAST_RULES + tr.CLOCK_RULES if not r.literal]
+    assert plan.count("regexp_replace(") <= len(rules)
