@@ -427,12 +427,16 @@ HISTORY_SQL = f"""
            id_source as individual_id_source, email_address, first_name, last_name, phone_number, city,
            create_est_timestamp as created_est_timestamp, valid_from_date_hour as valid_from_est_timestamp,
            valid_to_date_hour as valid_to_est_timestamp, is_current, is_identity_deleted as is_deleted,
-           billing_profile_id, subscription_id, legacy_account_id as linked_account_id
+           billing_profile_id, subscription_id, legacy_subscription_id,
+           identity_valid_from as identity_valid_from_est_timestamp, billing_valid_from as billing_profile_valid_from_est_timestamp,
+           household_valid_from as household_link_valid_from_est_timestamp, subscription_valid_from as subscription_valid_from_est_timestamp,
+           is_billing_deleted as is_billing_profile_deleted, is_household_deleted as is_household_link_deleted, is_subscription_deleted,
+           legacy_account_id as linked_legacy_account_id, case when prior is distinct from person_id then prior end as prior_person_id,
+           timestamp '2024-01-31 19:00:00' as etl_create_est_timestamp, timestamp '2024-01-31 19:00:00' as etl_update_est_timestamp
     from hist2""",
 )
 def unified_history(spark, sf):
     rows = _history(spark, sf)
-    info = "additional_info_struct"
     return ntz(
         rows.select(
             "identity_id",
@@ -449,9 +453,9 @@ def unified_history(spark, sf):
             "valid_to_est_timestamp",
             "is_current",
             "is_deleted",
-            f"{info}.billing_profile_id",
-            f"{info}.subscription_id",
-            F.col(f"{info}.linked_legacy_account_id").alias("linked_account_id"),
+            "additional_info_struct.*",
+            "prior_person_struct.prior_person_id",
+            "etl_metadata_struct.*",
         )
     )
 
@@ -459,7 +463,7 @@ def unified_history(spark, sf):
 def _history(spark, sf):
     devices, individuals, known = _legacy_tables(spark, sf)
     line = stored_timeline(spark, sf)
-    return rs.identity_history(line, rs.resolve_persons(known, line, devices, individuals))
+    return rs.identity_history(line, rs.resolve_persons(known, line, devices, individuals), as_of="2024-02-01 00:00:00")
 
 
 @query(
