@@ -37,6 +37,19 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes that go to a Python worker at once. Spark's own 64 MB stand several times in the JVM's
+#: buffers and in the worker, for each task of an executor.
+BATCH_BYTES = "4m"
+
+
+def bounded_batches(df: DataFrame) -> None:
+    """Have whole texts and packed arrays go to Python in small batches, unless the session
+    has a limit of its own."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name) == "67108864b":  # the default
+        conf.set(name, BATCH_BYTES)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names for helper columns that no column of ``df`` has (in any letter case)."""
     taken = {c.lower() for c in df.columns}

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from histkit.llm.common import store
+from histkit.llm.common import bounded_batches, store
 from histkit.llm.graph import components, local_components
 
 BLOCK = 2048
@@ -171,6 +171,7 @@ def near_embeddings(vectors: DataFrame, least: float = 0.98, block: int = BLOCK)
     rows are vectors of their own and link with each other. Blocks are dealt by a hash, so a label with most of
     the rows has more blocks of the same size; pairs of blocks stay within a label.
     """
+    bounded_batches(vectors)
     rows = store(vectors.select(F.monotonically_increasing_id().alias("uid"), F.col("vec_id").cast("long"), "label", F.col("embedding").cast("array<double>").alias("embedding")), "vectors")
     valid = rows.where(F.col("label").isNotNull() & usable(F.col("embedding"))).withColumn("dims", F.size("embedding"))
     sizes = valid.groupBy("label", "dims").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks"))

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from histkit.llm.common import bounded_batches
+
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 UNSEEN = {"head", "title", "style", "script", "noscript", "template", "iframe", "object", "svg", "math", "datalist", "select", "textarea", "audio", "video", "canvas"}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "ul", "caption"}
@@ -294,4 +296,5 @@ def extract(pages: DataFrame, html: str = "html", to: str = "text") -> DataFrame
     Row by row: nothing is shuffled. Null and empty pages give an empty text; broken mark-up is repaired as the
     tree builder can, an unfinished tag at the end included.
     """
+    bounded_batches(pages)
     return pages.withColumn(to, text_of(html))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from histkit.llm.common import store
+from histkit.llm.common import bounded_batches, store
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, rank long"
 PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, padded_length long"
@@ -89,6 +89,7 @@ class WordIds:
 def token_pieces(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int = 1) -> DataFrame:
     """One row per piece, with the number of the task that cut it and its rank among the pieces
     of its length there. Stored, as a second run of a task may see other rows."""
+    bounded_batches(docs)
     end = struct.pack("<I", end_id)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

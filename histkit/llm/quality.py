@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from histkit.llm.common import fresh, store
+from histkit.llm.common import bounded_batches, fresh, store
 
 #: Labelled rows that the evidence model is fitted to, at most.
 TRAIN_ROWS = 20_000
@@ -140,6 +140,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     without labels of both kinds the evidence is even and all is kept. Columns named quality or
     kept are replaced.
     """
+    bounded_batches(docs)
     model = evidence_model(docs, labels, train_rows)  # a few hundred numbers, sent with the task
 
     @F.pandas_udf(T.DoubleType())

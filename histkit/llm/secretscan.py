@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from histkit.llm.common import bounded_batches
+
 # Patterns of the contract (fixed values): leftmost, non-overlapping per kind.
 ASSIGN = re.compile(
     "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
@@ -136,12 +138,14 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     Row by row: nothing is shuffled. A null or empty text has no spans. Columns of these names
     are replaced.
     """
+    bounded_batches(docs)
     kept = [c for c in docs.columns if c.lower() not in SPANS.names]
     return docs.select(*kept, secrets_of(text).alias("secrets_found")).select(*kept, *[F.col("secrets_found")[n].alias(n) for n in SPANS.names])
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span masked; n_chars, where there is one, follows the text."""
+    bounded_batches(docs)
     out = docs.withColumn("text", without_secrets("text"))
     if "n_chars" in docs.columns:
         n: Column = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from histkit.llm.common import fresh, store
+from histkit.llm.common import bounded_batches, fresh, store
 from histkit.llm.graph import components, local_components
 
 SEED = 42
@@ -135,6 +135,7 @@ def simhash_groups(docs: DataFrame, radius: int = 4) -> DataFrame:
     Null and empty texts have fingerprint 0 and form a group with all fingerprints near it.
     A null doc_id comes last in its group. Repeated rows each give a row.
     """
+    bounded_batches(docs)
     rows = store(docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("digest"), fingerprints("text").alias("fp")), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
     distinct = store(rows.groupBy("fp").agg(F.min(order).alias("first")), "distinct-fingerprints")

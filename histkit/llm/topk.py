@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from histkit.llm.common import store
+from histkit.llm.common import bounded_batches, store
 
 ROWS = 16_384
 QUERIES = 1024
@@ -88,6 +88,7 @@ def top_k(vectors: DataFrame, queries, k: int = 5, scale: int = 256, rows: int =
     non-finite components, take no part. A row is not a candidate of itself, but repeated rows are
     of each other. Vectors of different lengths do not meet. With fewer than k candidates all are returned.
     """
+    bounded_batches(vectors)
     finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long"))
     ids = vectors.select(F.monotonically_increasing_id().alias("uid"), F.col("vec_id").cast("long"), F.coalesce(queries, F.lit(False)).alias("asks"), "embedding")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from histkit.llm.common import store
+from histkit.llm.common import bounded_batches, store
 
 #: Labelled rows that are learned from, and terms in the vocabulary, at most.
 TRAIN_ROWS = 20_000
@@ -186,6 +186,7 @@ def judge(docs: DataFrame, labels: DataFrame, least: float = 0.7, train_rows: in
     examples without terms; a null doc_id is not held out; repeated rows score alike; without
     labels of both kinds every text gets that prior.
     """
+    bounded_batches(docs)
     index = learn(docs, labels, train_rows)  # bounded by train_rows and VOCABULARY
 
     @F.pandas_udf(VERDICT)
