@@ -373,7 +373,7 @@ def two_loads(spark, sf):
     first = scd2.scd2_pipeline(log.where(F.col("ts") < cut), None, job(), AS_OF, project_user)
     first = materialize(first, "target")
     delta = scd2.scd2_pipeline(log.where(F.col("ts") >= cut), first, job(), AS_OF, project_user)
-    return first, delta
+    return first, materialize(delta, "delta")
 
 
 @query("scd2_incremental", full_sql(HOURLY_SQL))

@@ -90,26 +90,28 @@ def range_join(
     are then joined back to the rows by equality, so unmatched rows are kept once.
     ``keys``: left -> right names.
     """
-    start, end = _seconds(right, lo), _seconds(right, hi)
-    length = end - start + 1
-    level = F.lit(WIDTHS)
-    for n in reversed(range(WIDTHS)):
-        level = F.when(length <= FINEST * STEP**n, F.lit(n)).otherwise(level)
-
     def bucket(seconds: Column, n: Column) -> Column:
         width = F.element_at(F.array(*[F.lit(FINEST * STEP**k).cast("bigint") for k in range(WIDTHS)]), F.least(n + 1, F.lit(WIDTHS)))
         return F.when(n < WIDTHS, F.floor(seconds / width)).otherwise(F.lit(0)).cast("bigint")
 
+    level = F.lit(WIDTHS)
+    for n in reversed(range(WIDTHS)):
+        level = F.when(F.col("_end") - F.col("_start") < FINEST * STEP**n, F.lit(n)).otherwise(level)
+    # Step by step: each expression is used several times by the next, and is then not repeated in it.
     versions = right.select(
         *[F.col(r).alias(f"_k_{l}") for l, r in keys.items()],
         F.col(lo).alias("_lo"),
         F.col(hi).alias("_hi"),
-        level.alias("_level"),
-        F.array_distinct(F.array(bucket(start, level), bucket(end, level))).alias("_buckets"),
+        _seconds(right, lo).alias("_start"),
+        _seconds(right, hi).alias("_end"),
         *[F.col(c).alias(f"_o_{o}") for o, c in take.items()],
     ).where(F.col("_lo") <= F.col("_hi"))
+    versions = versions.withColumn("_level", level)
+    buckets = F.array_distinct(F.array(bucket(F.col("_start"), F.col("_level")), bucket(F.col("_end"), F.col("_level"))))
+    versions = versions.withColumn("_buckets", buckets).drop("_start", "_end")
     used = versions.agg(F.collect_set("_level")).scalar()
-    versions = versions.withColumn("_bucket", F.explode("_buckets")).drop("_buckets")
+    # The outer form: for the plain one Spark adds a filter that repeats the whole expression.
+    versions = versions.withColumn("_bucket", F.explode_outer("_buckets")).drop("_buckets")
 
     clock = _seconds(left, at)
     points = left.select(*[F.col(l).alias(f"_p_{l}") for l in keys], F.col(at).alias("_p_time"), clock.alias("_clock"))

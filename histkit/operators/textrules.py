@@ -187,7 +187,11 @@ def substitute_vars(df: DataFrame, env: DataFrame, expr: str = "statement", job:
 
 
 def is_log_statement(expr: str | Column) -> Column:
-    return F.regexp_like(col_of(expr), F.lit("(?i)" + "|".join(LOG_MARKS)))
+    low = F.lower(col_of(expr))
+    hit = F.lit(False)
+    for mark in LOG_MARKS:
+        hit = hit | low.contains(mark.lower())
+    return hit
 
 
 def finish_statement(c: Column) -> Column:
@@ -209,7 +213,8 @@ def _prepared(scripts: DataFrame, col: str) -> DataFrame:
 
     others = [c for c in scripts.columns if c != col]
     made = F.transform(F.array(apply_rules(col, NORMALIZE_RULES)), parts)
-    return scripts.select(*others, F.inline(made))
+    # The outer form: for the plain one Spark adds a filter that repeats the whole expression.
+    return scripts.select(*others, F.inline_outer(made))
 
 
 def script_statements(scripts: DataFrame, env: DataFrame, id_col: str = "doc_id", col: str = "text") -> DataFrame:

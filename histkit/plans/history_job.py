@@ -66,7 +66,8 @@ def run_history_job(
         write_history(scd2_pipeline(events, None, spec, as_of, project, **pipeline), base, version, is_open)
     else:
         target = read_snapshot(spark, base, before=version)
-        delta = scd2_pipeline(events, target, spec, as_of, project, **pipeline)
+        # A merge reads its source several times, so the batch's rows are stored first.
+        delta = pipeline["store"](scd2_pipeline(events, target, spec, as_of, project, **pipeline), "delta")
         now = local_time(timestamp_literal(as_of), spec.zone)
         live = read_open(spark, base, before=version)
         rows = merged_rows(merge_scd2(live, delta, spec.write.target_keys, now, cols, source_unique=True))

@@ -42,7 +42,8 @@ def build(spark, events, target=None):
 
 def load(spark, events, target=None):
     rows = build(spark, events, target)
-    return rows if target is None else mg.merged_rows(mg.merge_scd2_current(target, rows, ["id"]))
+    rows = rows if target is None else mg.merged_rows(mg.merge_scd2_current(target, rows, ["id"]))
+    return spark.createDataFrame(rows.collect(), rows.schema)  # a load is stored before the next one
 
 
 def flat(df):
