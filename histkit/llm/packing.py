@@ -69,7 +69,8 @@ class WordIds:
         known = self.new.get(word) or self.old.get(word)
         if known is None:
             stem = word.rstrip(self.ENDS)
-            if stem and stem != word and b"<|" not in word:
+            # Marks behind a letter or digit are a piece of their own; behind any other sign they belong to its piece.
+            if stem != word and stem[-1:].isalnum() and b"<|" not in word:
                 known = self._word(stem) + self._word(word[len(stem) :])
             else:
                 known = self._tokenize(word.decode())

@@ -48,6 +48,16 @@ def test_word_ids_equal_the_tokenizer():
         assert words.encode(text) == struct.pack(f"<{len(ids)}I", *ids)
 
 
+def test_word_ids_of_marks_behind_signs_equal_the_tokenizer():
+    tokenizer, words = Tokenizer.from_file(PATH), WordIds(PATH)
+    rng = random.Random(3)
+    fixed = ["(foo).", '"foo",', '"a".', "f(x);", "x%;", "5).", "5%,", "\U0001f4a1!", "\u0915\u093f.", "e\u0301.", "a\u0323.", "(c).,", "\xe4.", "\xb2,", "it's.", "''.", ").", "<|endoftext|>.", "x<|,"]
+    drawn = ["".join(rng.choice("aZ5)(\"'%.,;:!?-_\xe4\u0301\u093f\U0001f4a1") for _ in range(rng.randint(1, 7))) for _ in range(3000)]
+    for text in [*fixed, *drawn, " ".join(fixed)]:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert words.encode(text) == struct.pack(f"<{len(ids)}I", *ids), text
+
+
 def test_pieces_hold_every_id_once(spark):
     docs = awkward(spark).withColumnsRenamed({"lang": "rank", "n_chars": "part"})
     rows = pack(docs, PATH, window=64).collect()
