@@ -2,7 +2,8 @@
 
 A small tree builder (implied end tags, void elements, raw-text elements) works on the
 tokens of the standard library's parser; a renderer walks the tree without recursion. Text of
-elements that a browser does not show is left out; nothing else is dropped.
+elements that a browser does not show is left out; nothing else is dropped. Of a select the
+chosen option is shown, as browsers do.
 """
 
 from __future__ import annotations
@@ -19,8 +20,17 @@ from pyspark.sql import types as T
 from histkit.llm.common import bounded_batches
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-UNSEEN = {"head", "title", "style", "script", "noscript", "template", "iframe", "object", "svg", "math", "datalist", "select", "textarea", "audio", "video", "canvas"}
+UNSEEN = {"head", "title", "style", "script", "noscript", "template", "iframe", "object", "datalist", "audio", "video", "canvas"}
+#: What stands in a head; any other tag, or text, ends it.
+IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
+#: Unseen within the element; tags that end it where they stand in it; and what may hold HTML in it.
+FOREIGN_UNSEEN = {"svg": {"defs", "desc", "metadata", "symbol", "clippath", "mask"}, "math": {"annotation", "annotation-xml"}}
+HOLDS_HTML = {"svg": {"foreignobject", "desc", "title"}, "math": {"annotation-xml", "mi", "mo", "mn", "ms", "mtext"}}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "ul", "caption"}
+ENDS_FOREIGN = {"b", "big", "blockquote", "body", "br", "center", "code", "dd", "div", "dl", "dt", "em", "embed", "h1", "h2", "h3", "h4", "h5", "h6", "hr", "i", "img", "li", "listing", "menu", "meta", "nobr", "ol", "p", "pre", "ruby", "s", "small", "span", "strong", "strike", "sub", "sup", "table", "tt", "u", "ul", "var"}
+ENDS_SELECT = BLOCKS - {"div", "hr"} | {"input", "select", "textarea", "tr", "td", "th", "thead", "tbody", "tfoot"}
+#: Lines of their own, without being blocks to the tree builder.
+LINES = {"text", "textarea"}
 #: Blocks with an empty line around them.
 SPACED = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "table", "ul", "ol", "dl", "article", "section", "figure", "fieldset", "hr"}
 #: Start tags that end an open p; and what else a start tag ends, up to the nearest element that contains it.
@@ -61,6 +71,16 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#root", {})
         self.open = [self.root]
+        self.marks: list[tuple[int, Node]] = []
+
+    def _context(self) -> tuple[int, str]:
+        """Place and tag of the innermost open svg, math or select, or of what holds HTML in one."""
+        while self.marks:
+            k, node = self.marks[-1]
+            if k < len(self.open) and self.open[k] is node:
+                return k, node.tag
+            self.marks.pop()
+        return 0, ""
 
     def _end(self, tags: set[str], within: set[str]) -> None:
         """Close from the topmost open element of ``tags``, looking no further than ``within``."""
@@ -74,6 +94,14 @@ class TreeBuilder(HTMLParser):
             del self.open[low:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "head" and self.open[-1].tag not in ("#root", "html"):
+            return
+        at, context = self._context()
+        while context in FOREIGN_UNSEEN and tag in ENDS_FOREIGN or context == "select" and tag in ENDS_SELECT:
+            del self.open[at:]
+            at, context = self._context()
+        if self.open[-1].tag == "head" and tag not in IN_HEAD:
+            self.open.pop()
         if tag in ENDS_P:
             self._end({"p"}, {"table", "td", "th", "caption", "button", "object", "li", "dd", "dt", "div"})
         if tag in IMPLIED:
@@ -83,12 +111,26 @@ class TreeBuilder(HTMLParser):
         if tag in HEADINGS and self.open[-1].tag in HEADINGS:
             self.open.pop()
         node = Node(tag, dict(attrs))
+        if tag in FOREIGN_UNSEEN.get(context, ()):
+            node.attrs["hidden"] = ""
         self.open[-1].children.append(node)
         if tag not in VOID:
+            if tag in FOREIGN_UNSEEN or tag == "select" or tag in HOLDS_HTML.get(context, ()):
+                self.marks.append((len(self.open), node))
             self.open.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
+        # Only svg, math and what is in them can close itself.
+        if self.open[-1].tag == tag and (tag in FOREIGN_UNSEEN or self._foreign_parent()):
+            self.open.pop()
+
+    def _foreign_parent(self) -> bool:
+        """Whether the innermost open element stands in an svg or math."""
+        at, context = self._context()
+        if at == len(self.open) - 1 and context not in FOREIGN_UNSEEN:  # a mark itself
+            return context != "select"
+        return context in FOREIGN_UNSEEN
 
     def handle_endtag(self, tag: str) -> None:
         scope = {"table", "td", "th", "caption"} if tag not in {"table", "tr", "td", "th", "tbody", "thead", "tfoot", "caption", "body", "html"} else {"table"} - {tag}
@@ -105,6 +147,8 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.open[-1].tag == "#root" and not data.strip():
             return
+        if self.open[-1].tag == "head" and data.strip():
+            self.open.pop()
         self.open[-1].children.append(data)
 
 
@@ -163,28 +207,83 @@ class Layout:
         return "".join(self.out)
 
 
-def _rows(table: Node) -> list[Node]:
-    found, stack = [], list(reversed(table.children))
-    while stack:
+def _parts(table: Node) -> tuple[list[tuple[int, list[Node]]], list[Node], Node]:
+    """Rows (number of their row group, cells), captions, and all else that the table holds.
+
+    Cells and rows are found below any element but cells and tables, as browsers ignore what
+    stands between; cells without a row make one.
+    """
+    sections, bearers = {"thead", "tbody", "tfoot"}, {id(table)}
+    above, stack = {}, [table]
+    while stack:  # the elements that have rows or cells below them
         x = stack.pop()
-        if isinstance(x, Node) and not x.hidden():
-            if x.tag == "tr":
-                found.append(x)
-            elif x.tag in ("thead", "tbody", "tfoot"):
-                stack += reversed(x.children)
-    return found
+        for c in x.children:
+            if isinstance(c, Node) and not c.hidden():
+                above[id(c)] = id(x)
+                if c.tag in ("tr", "td", "th"):
+                    k = above[id(c)]
+                    while k not in bearers:
+                        bearers.add(k)
+                        k = above[k]
+                if c.tag not in ("table", "td", "th", "caption", "select"):
+                    stack.append(c)
+    rows, captions, stray = [], [], Node("#stray", {})
+    row: list[Node] | None = None
+    group, walk = 0, [(c, False) for c in reversed(table.children)]
+    while walk:
+        x, leaving = walk.pop()
+        if isinstance(x, str):
+            stray.children.append(x)
+            continue
+        if leaving:
+            row, group = None, group + (x.tag in sections)
+        elif x.hidden() or x.tag == "col":
+            continue
+        elif x.tag in ("td", "th"):
+            if row is None:
+                row = []
+                rows.append((group, row))
+            row.append(x)
+        elif x.tag == "caption":
+            captions.append(x)
+        elif x.tag == "tr" or x.tag in sections:
+            row, group = None, group + (x.tag in sections)
+            walk.append((x, True))
+            walk += [(c, False) for c in reversed(x.children)]
+        elif x.tag == "colgroup" or id(x) in bearers:
+            walk += [(c, False) for c in reversed(x.children)]
+        else:
+            stray.children.append(x)
+            continue
+        stray.children.append(Node("div", {}))  # what comes next is not of the same line
+    return rows, captions, stray
 
 
 def _number(text: str | None, default: int = 1) -> int:
     return int(text) if text and re.fullmatch("-?[0-9]{1,6}", text.strip()) else default
 
 
-def _table(table: Node, depth: int) -> str:
-    """Rows with their cells in columns of equal width; a cell spans as many columns as it says."""
+def _table(rows: list[tuple[int, list[Node]]], depth: int) -> str:
+    """Rows with their cells in columns of equal width; a cell spans as many columns and rows as it says."""
     lines: list[list[tuple[str, int]]] = []
-    for row in _rows(table):
-        cells = [c for c in row.children if isinstance(c, Node) and c.tag in ("td", "th") and not c.hidden()]
-        lines.append([(" ".join(render(c, depth + 1).split()), max(1, min(_number(c.attrs.get("colspan")), 1000))) for c in cells])
+    held: dict[int, list[int]] = {}  # by first column: further rows of the cell, its columns
+    last = 0
+    for group, row in rows:
+        if group != last:
+            held, last = {}, group
+        line, at, later = [], 0, {}
+        for c in row:
+            while at in held:
+                line.append(("", held[at][1]))
+                at += held[at][1]
+            span = max(1, min(_number(c.attrs.get("colspan")), 1000))
+            line.append((" ".join(render(c, depth + 1).split()), span))
+            more = _number(c.attrs.get("rowspan"))
+            if more > 1 or more == 0:
+                later[at] = [more - 1 if more else 65534, span]
+            at += span
+        held = {k: [n - 1, span] for k, (n, span) in held.items() if n > 1} | later
+        lines.append(line)
     widths: dict[int, int] = {}
     for cells in lines:
         at = 0
@@ -203,6 +302,40 @@ def _table(table: Node, depth: int) -> str:
     return "\n".join(x for x in out if x)
 
 
+def _plain(node: Node) -> str:
+    words, stack = [], [node]
+    while stack:
+        x = stack.pop()
+        if isinstance(x, str):
+            words.append(x)
+        elif not x.hidden():
+            stack += reversed(x.children)
+    return " ".join("".join(words).split())
+
+
+def _shown(select: Node) -> list[str]:
+    """Texts of the options that a select shows: all of a list box, else the chosen one."""
+    all_ = "multiple" in select.attrs or _number(select.attrs.get("size"), 0) > 1
+    options: list[Node] = []
+    texts, stack = [], list(reversed(select.children))
+    while stack:
+        x = stack.pop()
+        if isinstance(x, str):
+            texts.append(x)
+        elif not x.hidden():
+            if x.tag == "option":
+                options.append(x)
+                texts.append(x.attrs.get("label") or _plain(x))
+            else:
+                if x.tag == "optgroup" and x.attrs.get("label"):
+                    texts.append(x.attrs["label"])
+                stack += reversed(x.children)
+    if not all_ and options:
+        chosen = [o for o in options if "selected" in o.attrs] or [o for o in options if "disabled" not in o.attrs][:1] or options[:1]
+        texts = [chosen[-1].attrs.get("label") or _plain(chosen[-1])]
+    return [t for t in texts if t.strip()]
+
+
 #: Nesting beyond which a table is rendered as plain blocks.
 DEEP = 20
 
@@ -227,10 +360,12 @@ def render(root: Node, depth: int = 0) -> str:
                 layout.marker = None
             elif tag == "blockquote":
                 layout.prefix.pop()
-            elif tag == "pre":
+            elif tag in ("pre", "textarea"):
                 pre -= 1
             if tag in BLOCKS:
                 layout.block(2 if tag in SPACED and not lists else 1)
+            elif tag in LINES:
+                layout.block(1)
             continue
         if x.hidden():
             continue
@@ -241,19 +376,23 @@ def render(root: Node, depth: int = 0) -> str:
             if x.attrs.get("alt"):
                 layout.text(x.attrs["alt"])
             continue
+        if tag == "select":
+            for text in _shown(x):
+                layout.space = True
+                layout.text(text + " ")
+            continue
         if tag in BLOCKS:
             layout.block(2 if tag in SPACED and not lists else 1)
-        elif tag in ("td", "th", "tr"):
+        elif tag in ("td", "th", "tr") or tag in LINES:
             layout.block(1)
-        if tag == "table" and depth < DEEP and _rows(x):
-            captions = [c for c in x.children if isinstance(c, Node) and c.tag == "caption" and not c.hidden()]
-            stray = [c for c in x.children if isinstance(c, str) or c.tag not in ("thead", "tbody", "tfoot", "tr", "caption", "colgroup", "col")]
-            for c in [*stray, *captions]:
-                text = _SPACES.sub(" ", c) if isinstance(c, str) else render(c, depth + 1)
+        rows, captions, stray = _parts(x) if tag == "table" and depth < DEEP else ([], [], x)
+        if rows:
+            for c in [stray, *captions]:
+                text = render(c, depth + 1)
                 if text.strip():
                     layout.raw(text.strip())
                     layout.block(1)
-            layout.raw(_table(x, depth))
+            layout.raw(_table(rows, depth))
             layout.block(2)
             continue
         if tag in ("ul", "ol", "menu"):
@@ -266,7 +405,7 @@ def render(root: Node, depth: int = 0) -> str:
             layout.marker = marker
         elif tag == "blockquote":
             layout.prefix.append("> ")
-        elif tag == "pre":
+        elif tag in ("pre", "textarea"):
             pre += 1
         stack.append((x, True))
         stack += [(c, False) for c in reversed(x.children)]

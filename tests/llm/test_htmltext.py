@@ -29,6 +29,38 @@ def test_layout(html):
     assert visible_text(html) == CASES[html]
 
 
+KEPT = {
+    "<table><tr><form><td>a<td>b</td></form></tr></table>": "a | b",
+    "<table><form><tr><td>a</td></tr></form><tr><td>b</table>": "a\nb",
+    "<table><tr>te<b>x</b>t<td>a</td></tr></table>z": "text\na\n\nz",
+    "<table><tbody>one<div>two</div><td>a<td>b<tr><td>c<td>d</table>": "one\ntwo\na | b\nc | d",
+    "<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>": "a | b\n  | c\nd | e",
+    "<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c<tbody><tr><td>d</table>": "a | b\n  | c\nd",
+    "<table><colgroup>w<col><tr><td>a</table>": "w\na",
+    "x<svg/>y<math/>z": "xyz",
+    "<svg><defs/><text>a</text><text>b</text><title>no</title><defs><text>no</text></defs></svg>c": "a\nb\nc",
+    "<svg><defs><g><p>out</p>side": "out\n\nside",
+    "<math><mi>x</mi><mo>=</mo><mn/><mn>1</mn><annotation>no</annotation></math> y": "x=1 y",
+    "<textarea>a\n b</textarea>c": "a\n b\nc",
+    "<select><option>a<option selected>b</select> c": "b c",
+    "<select multiple><option>a<option>b</select>c": "a b c",
+    "<select><option disabled>a<option>b<p>c": "b\n\nc",
+    "<head><title>T</title>text": "text",
+    "<html><head><meta charset=x><a href=y>link</a> more": "link more",
+    "<body>a<head>b</head>c": "abc",
+}
+
+
+@pytest.mark.parametrize("html", KEPT)
+def test_shown_words_stay(html):
+    assert visible_text(html) == KEPT[html]
+
+
+def test_deep_tables_and_foreign_elements():
+    assert visible_text("<table><tr><td>a" + "<tr><b>" * 3000 + "<td>x").split() == ["a", "x"]
+    assert visible_text("<svg><g>" * 3000 + "x") == "x"
+
+
 def test_deep_and_long_pages():
     assert visible_text("<div>" * 30_000 + "x") == "x"
     assert visible_text("<ul><li>" * 300 + "x").endswith("x")
