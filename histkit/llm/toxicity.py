@@ -1,7 +1,8 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
 Terms are words and the 4 to 6 first letters of words. The vocabulary holds the terms whose
-link with the toxic label is stronger than chance would give among as many terms. Labelled
+link with the toxic label is stronger than chance would give among as many terms, so the cosine
+is that of the toxic vocabulary in two texts, not of whole texts (README has figures). Labelled
 examples are vectors over it, kept in an inverted index of blocks of similar examples
 with each term's largest weight per block. A query bounds every block by these maxima and visits blocks by
 falling bound until the bound is below the k-th best similarity: the result is exact. Similarities vote
@@ -50,13 +51,18 @@ def terms_of(text: str | None, starts: set[str] | None = None) -> Counter:
     return out
 
 
+def starts_of(terms: dict[str, float]) -> set[str]:
+    """First four letters of the words that the terms come from; only stems end in a mark."""
+    return {(t[:-1] if t.endswith("-") else t)[:4] for t in terms}
+
+
 class BlockMaxIndex:
     """Examples over a vocabulary, as unit vectors; postings by term, cut at block borders."""
 
     def __init__(self, terms: dict[str, float], examples: list[tuple[int, int, dict[str, int]]], base: float):
         """``terms``: inverse document frequencies. ``examples``: (id, label, counts)."""
         self.terms, self.base = terms, base
-        self.starts = {t[:4].rstrip("-") for t in terms}
+        self.starts = starts_of(terms)
         vectors = sorted(((max(v, key=lambda t: (v[t], t)), i, y, v) for i, y, c in examples if (v := self.vector(c))), key=lambda e: (e[0], e[1]))
         self.ids = [i for _, i, _, _ in vectors]
         self.labels = np.array([y for _, _, y, _ in vectors], dtype=float)
@@ -115,20 +121,31 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-@F.pandas_udf(T.LongType())
-def _sketch(texts: pd.Series) -> pd.Series:
-    """Least hash of the 4-word shingles: near copies mostly share it, other texts don't."""
+#: Share of common shingles from which a row counts as a near copy of its group's first row.
+NEAR = 0.8
 
-    def least(text: str | None) -> int:
-        words = (text or "").lower().split()
-        return min((hash_of(" ".join(words[i : i + 4])) for i in range(max(1, len(words) - 3))), default=0)
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _shingles(texts: pd.Series) -> pd.Series:
+    """Hashes of the 4-word shingles, the least first."""
     import xxhash
 
-    def hash_of(s: str) -> int:
-        return xxhash.xxh64_intdigest(s) >> 1
+    def hashes(text: str | None) -> list[int]:
+        words = (text or "").lower().split()
+        return sorted({xxhash.xxh64_intdigest(" ".join(words[i : i + 4])) >> 1 for i in range(max(1, len(words) - 3))})
+
+    return texts.map(hashes)
+
 
-    return texts.map(least)
+def without_near_copies(text: DataFrame) -> DataFrame:
+    """``text`` (doc_id, text, toxic) without the rows whose shingles are mostly those of the first
+    row with their least hash and label. The hash, which near copies mostly share, only finds the pairs."""
+    group = Window.partitionBy("sketch", "toxic").orderBy("doc_id", "text")
+    sketched = text.withColumn("shingles", _shingles("text")).withColumn("sketch", F.col("shingles")[0])
+    paired = sketched.withColumns({"nth": F.row_number().over(group), "first": F.first("shingles").over(group)})
+    both = F.size(F.array_intersect("shingles", "first"))
+    near = both >= NEAR * (F.size("shingles") + F.size("first") - both)
+    return paired.where((F.col("nth") == 1) | ~near).select("doc_id", "text", "toxic")
 
 
 def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> BlockMaxIndex:
@@ -138,9 +155,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> B
     known = known.groupBy("doc_id").agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows).select(F.col("doc_id").alias("labelled"), "toxic")
     text = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
-    sketched = text.select("doc_id", "text", "toxic", _sketch("text").alias("sketch"))
-    nth = F.row_number().over(Window.partitionBy("sketch", "toxic").orderBy("doc_id", "text"))
-    sample = store(sketched.withColumn("nth", nth).where("nth = 1").select("doc_id", "text", "toxic"), "labelled")
+    sample = store(without_near_copies(text.select("doc_id", "text", "toxic")), "labelled")
     n = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
 
@@ -162,7 +177,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> B
         strong = counts.withColumn("strength", strength).where((F.col("strength") > 2 * math.log(total)) & (F.col("toxic") / has > 0.5))
         for r in strong.orderBy(F.desc("strength"), "term").limit(VOCABULARY).collect():
             terms[r.term] = math.log((1 + n0 + n1) / (1 + r.clean + r.toxic)) + 1
-    starts = {t[:4].rstrip("-") for t in terms}
+    starts = starts_of(terms)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -91,6 +91,20 @@ def test_block_max_index_is_exact(seed):
         assert np.allclose([s for s, _ in index.nearest(query, 25)], want)
 
 
+def test_terms_with_marks_inside_are_found():
+    index = toxicity.BlockMaxIndex({"abc-def": 2.0, "xy--zz": 2.0, "uvw-x-": 2.0}, [(1, 1, {"abc-def": 1})], 0.1)
+    assert [set(index.vector(toxicity.terms_of(t, index.starts))) for t in ("abc-def", "xy--zz", "uvw-xyz")] == [{"abc-def"}, {"xy--zz"}, {"uvw-x-"}]
+    assert index.judge("so abc-def it")[1] == "1"
+
+
+def test_only_near_copies_are_left_out(spark):
+    line, long = prose(9, 60, 3000), prose(8, 200, 3000)
+    other = [f"{line} {prose(i, 60, 3000)}" for i in range(40, 60)]  # one line in common, mostly with the least hash
+    rows = [(i, t, 1) for i, t in enumerate([*other, long, long, long + " end", None, None])] + [(90, long, 0)]
+    left = toxicity.without_near_copies(spark.createDataFrame(rows, "doc_id long, text string, toxic int")).collect()
+    assert sorted(r.doc_id for r in left) == [*range(21), 23, 90]
+
+
 def test_toxicity_of_awkward_rows(spark):
     docs = awkward(spark).withColumns({"toxic": F.lit("x"), "score": F.lit(1)})
     for labels in ([], [(1, 1, 1), (2, 0, 0), (2, 0, 0), (None, 1, 1), (5, None, None)]):
