@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histkit.llm import covertree, htmltext, mixing, packing, quality, secretscan, sharding, simhash, topk, toxicity
+from histkit.llm import centroids, centroids_sql, covertree, htmltext, licenses, licenses_sql, mixing, packing, quality, secretscan, sharding, simhash, topk, toxicity
 from histkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,19 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text")
+
+
+@query
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_centroids"] = centroids_sql.oracle()
+
+
+@query
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents"))).drop("spans")
+
+
+ORACLES["op13_licenses"] = licenses_sql.oracle()
