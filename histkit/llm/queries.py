@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histkit.llm import centroids, centroids_sql, covertree, htmltext, licenses, licenses_sql, mixing, packing, quality, secretscan, sharding, simhash, topk, toxicity
+from histkit.llm import centroids, centroids_sql, covertree, htmltext, licenses, licenses_sql, mixing, packing, phrases, phrases_sql, quality, secretscan, sharding, simhash, topk, toxicity
 from histkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,15 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text")
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.collocations(table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.col(c).cast("long") for c in ("rank", "a", "l", "r", "n", "score")})
+
+
+ORACLES["op11_collocations"] = phrases_sql.oracle()
+
+
 @query
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
