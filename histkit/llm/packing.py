@@ -33,19 +33,22 @@ class WordIds:
     """Token ids of whole texts, remembered per white-space separated word.
 
     Holds for tokenizers that drop white space and never merge across it, as the pre-tokenizer
-    of ``word_bpe_49k.json`` does. Memory is bounded: two generations of ``room`` words.
+    of ``word_bpe_49k.json`` does. Memory is bounded: two generations of ``room`` bytes.
     """
 
+    #: Bytes of a remembered word beside its own and its ids': two objects and a place in the table.
+    EACH = 180
+
     #: Lower-case letters that neither normalization nor lower-casing changes.
     PLAIN = re.compile("[a-zà-öø-ÿ]+")
     ENDS = b".,;:!?"
 
-    def __init__(self, path: str, room: int = 150_000):
+    def __init__(self, path: str, room: int = 120_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.room = room
+        self.room, self.held = room, 0
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         # The byte-level alphabet: visible Latin-1 characters stand for themselves, the other
@@ -74,9 +77,10 @@ class WordIds:
                 known = self._word(stem) + self._word(word[len(stem) :])
             else:
                 known = self._tokenize(word.decode())
-        if len(self.new) >= self.room:
-            self.old, self.new = self.new, {}
+        if self.held >= self.room:
+            self.old, self.new, self.held = self.new, {}, 0
         self.new[word] = known
+        self.held += len(word) + len(known) + self.EACH
         return known
 
     def _tokenize(self, word: str) -> bytes:
@@ -87,6 +91,17 @@ class WordIds:
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def word_ids(path: str) -> WordIds:
+    """This process' memory of a tokenizer's words. A worker process runs many tasks, so it is kept
+    on an installed module: this one is sent along with each task."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_word_ids", {})
+    if path not in kept:
+        kept[path] = WordIds(path)
+    return kept[path]
+
+
 def token_pieces(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int = 1) -> DataFrame:
     """One row per piece, with the number of the task that cut it and its rank among the pieces
     of its length there. Stored, as a second run of a task may see other rows."""
@@ -94,7 +109,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_i
     end = struct.pack("<I", end_id)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part = WordIds(tokenizer_path), TaskContext.get().partitionId()
+        words, part = word_ids(tokenizer_path), TaskContext.get().partitionId()
         ranks = [0] * (window + 1)
         for batch in batches:
             rows = []
