@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("event_queries", "history_queries", "merge_queries", "join_queries", "identity_queries", "quality_queries", "text_queries", "job_queries")
+MODULES = ("event_queries", "history_queries", "merge_queries", "join_queries", "identity_queries", "identity_delta_queries", "quality_queries", "text_queries", "job_queries")
 
 
 def load_all():

@@ -13,7 +13,8 @@ from histkit.functions.hashing import row_hash
 from histkit.functions.times import local_time
 from histkit.operators import events as ev
 from histkit.operators import merge as mg
-from histkit.operators import scd2
+from histkit.operators import scd2, segments
+from histkit.plans import late_history
 from histkit.plans.history_job import run_history_job
 from histkit.sources import files
 from histkit.sources.files import materialize
@@ -87,6 +88,15 @@ def _changes(spark, sf, **hot):
     )
 
 
+@query("change_scan_segments", CHANGE_SQL)
+def change_scan_segments(spark, sf):
+    """The same changes by a segmented scan: ranges of key and time, whatever a key holds."""
+    df = table(spark, sf, "events").select(
+        "event_id", "user_id", "ts", "event_type", (F.col("event_type") == "error").alias("is_deleted")
+    )
+    return segments.changed_rows(df, ["user_id"], ["ts", "event_id"], ["event_type"], materialize, "is_deleted")
+
+
 VALIDITY_SQL = f"""
     select *, valid_to_est_timestamp = {HIGH_SQL} as is_current from (
       select o_custkey, o_orderkey, o_orderdate as valid_from_est_timestamp,
@@ -400,6 +410,20 @@ def history_job_delta(spark, sf):
     return flat_history(files.read_snapshot(spark, base))
 
 
+@query("scd2_late_rebuild", full_sql(HOURLY_SQL))
+def scd2_late_rebuild(spark, sf):
+    """Batches whose hours are mixed: late events are cut into closed history, and the end equals one rebuild."""
+    spec, log = job(), crud_events(spark, sf)
+    tables = late_history.LateHistory(
+        files.scratch_dir(spark, "late-history"), spec.write.target_keys, 8, scd2.DEFAULT_COLUMNS.deleted, spec.write.hash_exclude
+    )
+    turn = F.pmod(F.hour("ts") * 5 + F.dayofyear("ts"), F.lit(3))
+    for load, k in enumerate((1, 2, 0)):
+        batch = scd2.projected_events(log.where(turn == k), spec, AS_OF, project_user)
+        late_history.load_in_any_order(spark, tables, batch, load)
+    return flat_history(tables.history.read(spark))
+
+
 @query(
     "scd2_deletes",
     f"""

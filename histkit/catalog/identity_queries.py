@@ -28,7 +28,8 @@ def _text(prefix, cond=None):
     return value if cond is None else F.when(cond, value)
 
 
-def stages(spark, sf, where=None):
+def stages(spark, sf, where=None, hourly=False):
+    """Staging histories of the five sources, or the hourly rows that they are made of."""
     log = table(spark, sf, "events")
     if where is not None:
         log = log.where(where)
@@ -39,9 +40,8 @@ def stages(spark, sf, where=None):
         rows = log.where(F.col("event_type") == kind).select(
             "event_id", "identity_id", "ts", "is_deleted", *[c.alias(n) for n, c in {**tracked, **keep}.items()]
         )
-        return scd2.scd_stage(
-            rows, "identity_id", list(tracked), ["ts", "is_deleted", "event_id"], "ts", keep=list(keep)
-        )
+        make = scd2.hourly_rows if hourly else scd2.scd_stage
+        return make(rows, "identity_id", list(tracked), ["ts", "is_deleted", "event_id"], "ts", keep=list(keep))
 
     linked = {"individual_id": _text("i", k >= 40), "account_id": F.when(k >= 20, k.cast("bigint"))}
     sub = {"subscription_id": F.col("event_id"), "source_reference": _text("r")}

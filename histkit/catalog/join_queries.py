@@ -8,9 +8,9 @@ from histkit.catalog.registry import ntz, prop, query, table
 from histkit.config import Interval, JobSpec, ReadSpec, WriteSpec
 from histkit.functions import nested
 from histkit.functions.casts import conform, null_defaults
-from histkit.functions.times import local_time
+from histkit.functions.times import local_time, open_end
 from histkit.operators import joins as jn
-from histkit.operators import scd2
+from histkit.operators import scd2, segments
 from histkit.plans import device, vehicle
 from histkit.sources.files import materialize
 from histkit.sources.watermark import newer_than
@@ -493,6 +493,24 @@ def pit_join_default(spark, sf):
     return _signup_at(spark, sf)
 
 
+@query(
+    "pit_join_segments",
+    f"""
+    with h as ({SIGNUPS}), s as (select event_id, user_id, event_type, ts - interval 5 hour as at from events)
+    select s.*, h.event_id as signup_id, h.k as signup_k from s left join h
+      on h.user_id = s.user_id and s.at >= h.vf and s.at < h.vt
+    """,
+)
+def pit_join_segments(spark, sf):
+    """The same join by segmented scans."""
+    log = table(spark, sf, "events").withColumns({"at": local_time("ts"), "k": prop()})
+    signups = log.where("event_type = 'signup'").select("user_id", "event_id", "k", F.col("at").alias("vf"))
+    history = segments.next_value(signups, ["user_id"], ["vf"], "vf", "vt", materialize)
+    history = history.withColumn("vt", F.coalesce("vt", open_end(history.schema["vf"].dataType)))
+    spine = log.select("event_id", "user_id", "event_type", "at")
+    return segments.pit_join(spine, history, ["user_id"], "at", {"signup_id": "event_id", "signup_k": "k"}, "vf", "vt", materialize)
+
+
 def _signup_at(spark, sf, **hot):
     log = table(spark, sf, "events").withColumns({"at": local_time("ts"), "k": prop()})
     signups = log.where("event_type = 'signup'").select(

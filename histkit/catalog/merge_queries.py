@@ -18,7 +18,7 @@ from histkit.catalog.history_queries import (
 from histkit.catalog.registry import ntz, query, table
 from histkit.functions.casts import Field, device_for_feature, login_for_feature, safe_cast
 from histkit.operators import events as ev
-from histkit.operators import facts
+from histkit.operators import digests, facts
 from histkit.operators import joins as jn
 from histkit.operators import merge as mg
 from histkit.operators import scd2
@@ -176,6 +176,19 @@ def sync_three_way(spark, sf):
     return mg.merged_rows(mg.sync(target, _staged(spark, sf), ["agent_key_id"]))
 
 
+@query(
+    "sync_by_digest",
+    f"""
+    with t as (select *, 'kept' as note from ({PARTY_T}) where nation_key < 20), s as ({PARTY_S})
+    select s.agent_key_id, s.agent_nm, s.nation_key, t.note from s left join t using (agent_key_id)
+    """,
+)
+def sync_by_digest(spark, sf):
+    """The same contents as the sync, with only the buckets joined whose digests differ."""
+    target = _agents(spark, sf).where("nation_key < 20").withColumn("note", F.lit("kept"))
+    return mg.merged_rows(digests.sync_by_digest(target, _staged(spark, sf), ["agent_key_id"]))
+
+
 @query(
     "sync_metrics",
     f"""

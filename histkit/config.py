@@ -46,6 +46,7 @@ class WriteSpec:
     target_order_by: tuple[str, ...] = ("source_timestamp_struct.update_est_timestamp",)
     checkpoint_location: str | None = None
     hash_exclude: tuple[str, ...] = HASH_EXCLUDE
+    buckets: int = 16
 
 
 @dataclass(frozen=True)

@@ -12,6 +12,7 @@ from histkit.functions.casts import nullable
 from histkit.functions.nested import match_flag
 from histkit.functions.times import DEFAULT_ZONE, OPEN_END, col_of, local_time, open_end, timestamp_literal, trunc_hour
 from histkit.operators.events import top_rank
+from histkit.operators.components import Store, components, survivors
 from histkit.operators.joins import missing_keys
 from histkit.operators.merge import merge_if_different, merged_rows
 from histkit.operators.timeline import DEFAULT_LABELS, HOUR, INFO_FIELDS, Labels
@@ -157,6 +158,32 @@ def insert_identity_persons(
     return _insert(person, _identity_rows(person, timeline, labels))
 
 
+def refresh_identity_persons(person: DataFrame, timeline: DataFrame, labels: Labels = DEFAULT_LABELS) -> DataFrame:
+    """Persons that only an identity stands for, from its newest row: (new table, with ``_action``).
+
+    A full load takes them from all rows at once; a delta load has to follow newer rows to give the same table.
+    """
+    newest = top_rank(timeline.where(F.col("id_source") == labels.identity), ["identity_id"], [HOUR])
+    src = newest.select(
+        person_id("identity", "identity_id").alias("person_id"),
+        F.lit(labels.identity).alias("source"),
+        F.col("email_address").alias("best_email_address"),
+        F.col("phone_number").alias("best_phone_number"),
+        F.lit(ACTIVE).alias("state"),
+        F.col("identity_id").alias("primary_identity_id"),
+    )
+    changing = ["best_email_address", "best_phone_number"]
+    return merge_if_different(
+        person,
+        src,
+        ["source", "primary_identity_id"],
+        {c: c for c in changing},
+        {c: F.col(f"s.{c}") for c in changing},
+        {c: F.col(f"s.{c}") for c in src.columns},
+        source_unique=True,
+    )
+
+
 def resolve_persons(
     person: DataFrame,
     timeline: DataFrame,
@@ -220,15 +247,8 @@ def load_times(as_of: str | datetime | None, zone: str = DEFAULT_ZONE) -> Column
     return F.struct(now.alias("etl_create_est_timestamp"), now.alias("etl_update_est_timestamp")).alias("etl_metadata_struct")
 
 
-def identity_history(
-    timeline: DataFrame, person: DataFrame, labels: Labels = DEFAULT_LABELS, as_of: str | datetime | None = None
-) -> DataFrame:
-    """Timeline rows of all four classes with their person, best-attribute flags and prior person.
-
-    Each class looks the person up by its own key; one join on (kind of key, key) serves all
-    four. The prior person is the one before on the same identity, whatever class it came
-    from, and is set only when it changed.
-    """
+def natural_key(labels: Labels = DEFAULT_LABELS) -> tuple[Column, Column]:
+    """How a timeline row finds its person: the kind of key, and the key as text."""
     is_class = {c: F.col("id_source") == getattr(labels, c) for c in ("billing", "legacy", "account")}
     kind = (
         F.when(is_class["billing"] | is_class["legacy"], F.lit("individual"))
@@ -241,7 +261,11 @@ def identity_history(
         .when(is_class["account"], _key("legacy_account_id"))
         .otherwise(_key("identity_id"))
     )
-    # One row per way a person can be found: by individual, by account or by identity.
+    return kind, natural
+
+
+def ways_to_persons(person: DataFrame, labels: Labels = DEFAULT_LABELS) -> DataFrame:
+    """Persons (columns ``p_*``), one row per way they can be found: by individual, by account or by identity."""
     ways = F.array(
         F.struct(F.lit("individual").alias("_kind"), _key("individual_id").alias("_natural")),
         F.struct(
@@ -253,11 +277,25 @@ def identity_history(
             F.when(F.col("source") == labels.identity, _key("primary_identity_id")).alias("_natural"),
         ),
     )
-    people = (
+    return (
         person.select(F.explode(ways).alias("_way"), *_person_columns(person))
         .select("_way.*", *[f"p_{n}" for n in _PERSON_NAMES])
         .where(F.col("_natural").isNotNull())
     )
+
+
+def identity_history(
+    timeline: DataFrame, person: DataFrame, labels: Labels = DEFAULT_LABELS, as_of: str | datetime | None = None
+) -> DataFrame:
+    """Timeline rows of all four classes with their person, best-attribute flags and prior person.
+
+    Each class looks the person up by its own key; one join on (kind of key, key) serves all
+    four. The prior person is the one before on the same identity, whatever class it came
+    from, and is set only when it changed.
+    """
+    is_class = {c: F.col("id_source") == getattr(labels, c) for c in ("billing", "legacy", "account")}
+    kind, natural = natural_key(labels)
+    people = ways_to_persons(person, labels)
     rows = timeline.withColumns({"_kind": kind, "_natural": natural}).join(
         people, ["_kind", "_natural"], "left"
     )
@@ -358,3 +396,34 @@ def legacy_account_history(
         F.lit(True).alias("is_current"),
         load_times(as_of),
     )
+
+
+MERGED = "merged"
+
+
+def merge_persons(person: DataFrame, links: DataFrame, store: Store, labels: Labels = DEFAULT_LABELS) -> DataFrame:
+    """Persons that ``links`` (columns a and b, person ids) say are one, with a survivor per group.
+
+    The survivor is the one known best: from billing, then legacy, then an account, then an
+    identity alone; of equals the one with an individual, then the smallest id. It takes over
+    the group's first primary identity and account where it has none of its own. The others
+    point to it in ``merged_person_id`` (never to another merged person, whatever chain or
+    star the links form) and keep their former primaries in the ``prior_primary_`` columns. A
+    link to an unknown person joins groups, but nothing points to that person.
+    """
+    classes = [labels.person, labels.legacy, labels.account, labels.identity]
+    place = F.coalesce(F.array_position(F.array(*map(F.lit, classes)), F.col("source")), F.lit(0))
+    order = [F.when(place == 0, len(classes) + 1).otherwise(place), F.col("individual_id").isNull().cast("int")]
+    rows = store(survivors(person, "person_id", components(links, store), order), "survivors")
+    gone = F.col("_survivor") != F.col("person_id")
+    primary = ["primary_identity_id", "primary_legacy_account_id"]
+    rank = [o.alias(f"o{i}") for i, o in enumerate(order)]
+    firsts = [
+        F.min(F.when(F.col(c).isNotNull(), F.struct(*rank, F.col("person_id").alias("key"), F.col(c).alias("value"))))["value"].alias(f"_{c}") for c in primary
+    ]
+    rows = rows.join(rows.groupBy("_root").agg(*firsts), "_root")
+    out = {c: F.when(~gone, F.coalesce(F.col(c), F.col(f"_{c}"))) for c in primary}
+    out |= {f"prior_{c}": F.when(gone, F.col(c)) for c in primary}
+    out |= {"merged_person_id": F.when(gone, F.col("_survivor")), "state": F.when(gone, F.lit(MERGED)).otherwise(F.col("state"))}
+    kept = [c for c in person.columns if c not in out]
+    return rows.select(*kept, *[v.alias(n) for n, v in out.items()])

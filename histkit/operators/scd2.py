@@ -310,11 +310,22 @@ def scd2_pipeline(
     store: Callable[[DataFrame, str], DataFrame] | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """From raw events of all verbs to rows for the target table.
+    """From raw events of all verbs to rows for the target table: :func:`projected_events`, then :func:`scd2_delta`."""
+    rows = projected_events(events, spec, as_of, project, valid_from_ts, source_ts, cols)
+    return scd2_delta(rows, target, spec, cols, store, hot_rows)
 
-    Latest event per key and interval (delete flag available for the order), audit struct,
-    validity columns, the entity's own ``project`` function, then :func:`scd2_changes`.
-    """
+
+def projected_events(
+    events: DataFrame,
+    spec: JobSpec,
+    as_of: str | datetime,
+    project=None,
+    valid_from_ts: str | None = None,
+    source_ts: tuple[str, str] | None = None,
+    cols: Scd2Columns = DEFAULT_COLUMNS,
+) -> DataFrame:
+    """Latest event per key and interval (delete flag available for the order), audit struct,
+    validity columns, and the entity's own ``project`` function."""
     read, zone = spec.read, spec.zone
     rows = audit_struct(events, as_of, zone, read.delete_pattern, read.event_type_col, cols.audit)
     order = read.order_by or (read.event_ts_col,)
@@ -322,8 +333,19 @@ def scd2_pipeline(
     rows = seed_scd2(rows, valid_from_ts or read.event_ts_col, zone, cols)
     if source_ts is not None:
         rows = source_timestamps(rows, *source_ts, zone)
-    if project is not None:
-        rows = project(rows)
+    return project(rows) if project is not None else rows
+
+
+def scd2_delta(
+    rows: DataFrame,
+    target: DataFrame | None,
+    spec: JobSpec,
+    cols: Scd2Columns = DEFAULT_COLUMNS,
+    store: Callable[[DataFrame, str], DataFrame] | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Changes of projected events against the target, or a whole history without one."""
+    read = spec.read
     if target is not None:
         rows = rows.select(*target.columns)
     # One row per local day or hour bounds a key; exact times do not, so cut hot keys by minute.
@@ -363,11 +385,30 @@ def scd_stage(
     Latest event per (key, local hour), then rows equal to the one before are dropped
     (deletes stay), then the end of validity is the next row's hour.
     """
+    return stage_of_hours(hourly_rows(df, key, tracked, order, ts, deleted, zone, keep), key, tracked, high)
+
+
+def hourly_rows(
+    df: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    order: ev.Order,
+    ts: str = "envelopeTime",
+    deleted: str = "is_deleted",
+    zone: str = DEFAULT_ZONE,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """The latest event per key and local hour, changed or not."""
     rows = df.withColumn("valid_from_date_hour", trunc_hour(df, local_time(ts, zone)))
     rows = ev.top_rank(rows, [key, "valid_from_date_hour"], order)
     payload = [c for c in tracked if c != key]
-    rows = rows.select(key, *payload, *keep, "valid_from_date_hour", F.col(deleted).alias("is_deleted"))
+    return rows.select(key, *payload, *keep, "valid_from_date_hour", F.col(deleted).alias("is_deleted"))
+
+
+def stage_of_hours(rows: DataFrame, key: str, tracked: Sequence[str], high: str = OPEN_END) -> DataFrame:
+    """The staging history of hourly rows."""
     by = ["valid_from_date_hour"]
+    payload = [c for c in rows.columns if c not in (key, "is_deleted", *by)]
     rows = drop_sequential_unchanged(rows, [key], by, tracked, (), "is_deleted")
     rows = next_value(rows, [key], by, F.col(by[0]), "valid_to_date_hour")
     end = open_end(rows.schema[by[0]].dataType, high)
@@ -375,11 +416,8 @@ def scd_stage(
     return rows.select(
         key,
         *payload,
-        *keep,
         *by,
         to.alias("valid_to_date_hour"),
         (~F.col("is_deleted") & (to == end)).alias("is_current"),
         "is_deleted",
     )
-
-

@@ -45,6 +45,49 @@ def timeline(
     return rows.withColumn(valid_to, F.coalesce(F.lead(hour).over(over), end))
 
 
+def splice(stored: DataFrame, delta: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """Lay the intervals of ``delta`` over the stored ones of the same keys.
+
+    Wherever a delta interval covers a point in time its row holds, elsewhere the stored row:
+    a stored row that is covered in part is closed early, starts late, or is split in two; one
+    that is covered whole is gone. Rows of no length (tombstones) stay unless delta covers
+    their time or has a row that starts there. Intervals of one side and key do not overlap. Both sides have
+    the same columns; one shuffle by key serves all steps.
+    """
+    names = [c for c in stored.columns if c not in keys]
+    row = F.struct(*names)
+
+    def marks(df: DataFrame, side: str) -> DataFrame:
+        long = F.col(start) < F.col(end)
+        points = F.array(
+            F.struct(F.col(start).alias("_at"), row.alias(side), long.alias("_long")),
+            F.struct(F.col(end).alias("_at"), F.lit(None).cast(df.select(row.alias("r")).schema["r"].dataType).alias(side), F.lit(True).alias("_long")),
+        )
+        return df.select(*keys, F.explode(F.when(long, points).otherwise(F.slice(points, 1, 1))).alias("_p")).select(*keys, "_p.*")
+
+    points = union_all([marks(stored.select(*keys, *names), "_old"), marks(delta.select(*keys, *names), "_new")])
+    over = Window.partitionBy(*keys).orderBy("_at")
+    so_far = over.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def in_force(side: str) -> Column:
+        return F.last(F.when(F.col("_long"), F.col(side)), ignorenulls=True).over(so_far)
+
+    started = F.max(F.col("_new").isNotNull()).over(over.rangeBetween(Window.currentRow, Window.currentRow))
+    points = points.withColumns({"_o": in_force("_old"), "_n": in_force("_new"), "_started": started})
+    covers = F.coalesce(F.col("_n")[end] > F.col("_at"), F.lit(False))
+    held = F.coalesce(F.col("_o")[end] > F.col("_at"), F.lit(False))
+    points = points.withColumns({"_covered": covers, "_row": F.when(covers, F.col("_n")).when(held, F.col("_o"))})
+    short = points.where(~F.col("_long") & (F.col("_new").isNotNull() | ~(F.col("_covered") | F.col("_started"))))
+    tombstones = short.select(*keys, F.coalesce("_new", "_old").alias("_row")).select(*keys, *[F.col("_row")[c].alias(c) for c in names])
+
+    which = F.struct("_covered", F.col("_row")[start].alias("s"))
+    cut = points.where("_long").withColumns({"_which": which, "_before": F.lag(which).over(over)})
+    cut = cut.where(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.col("_which")))
+    cut = cut.withColumn("_to", F.lead("_at").over(over)).where(F.col("_row").isNotNull())
+    moved = {start: F.col("_at"), end: F.coalesce("_to", F.col("_row")[end])}
+    return cut.select(*keys, *[moved.get(c, F.col("_row")[c]).alias(c) for c in names]).unionByName(tombstones)
+
+
 @dataclass(frozen=True)
 class Labels:
     """Names of the classes an identity can be resolved by, in order of precedence."""

@@ -12,9 +12,10 @@ from histkit.config import JobSpec
 from histkit.functions.times import local_time, timestamp_literal
 from histkit.operators import events as ev
 from histkit.operators.merge import merge_scd2, merged_rows
-from histkit.operators.scd2 import DEFAULT_COLUMNS, scd2_pipeline
-from histkit.sources.files import append_history, materialize, read_open, read_snapshot, read_tables, write_history
-from histkit.sources.watermark import advance_watermark, read_watermark
+from histkit.operators.scd2 import DEFAULT_COLUMNS, Scd2Columns, projected_events, scd2_delta
+from histkit.operators.windows import HOT_ROWS
+from histkit.sources.files import append_history, materialize, read_buckets_of, read_open, read_tables, write_history
+from histkit.sources.watermark import observed_maximum, read_watermark, store_observed
 
 
 def source_events(
@@ -50,27 +51,32 @@ def run_history_job(
     as_of: str | datetime,
     project: Callable[[DataFrame], DataFrame],
     first_load: bool = False,
-    **pipeline,
+    cols: Scd2Columns = DEFAULT_COLUMNS,
+    store: Callable[[DataFrame, str], DataFrame] = materialize,
+    hot_rows: int = HOT_ROWS,
+    **projection,
 ) -> None:
     """Write version ``version`` of the target under ``to_table``; a repeated run replaces it.
 
     A backfill or first load replaces the target; otherwise the batch is merged into the
-    newest earlier version. A delta load reads the closed rows only for the newest start of
-    the batch's keys and never writes them again: it writes the open rows and those it
-    closes. The watermark moves only after the target was written.
+    newest earlier version. The events are read once: their projection is stored, and the
+    watermark is observed on the rows that were read for it. A delta load reads the closed rows of the buckets
+    of its keys only, for their newest start, and never writes closed rows again: it writes the open rows and
+    those it closes. The watermark moves only after the target was written.
     """
-    base, cols = spec.write.to_table, pipeline.get("cols", DEFAULT_COLUMNS)
-    pipeline.setdefault("store", materialize)
+    base, keys = spec.write.to_table, spec.write.target_keys
     is_open = F.col(cols.is_current)
+    events, seen = observed_maximum(events, spec.read.event_ts_col)
+    batch = store(projected_events(events, spec, as_of, project, cols=cols, **projection), "batch")
     if spec.full_reload or first_load:
-        write_history(scd2_pipeline(events, None, spec, as_of, project, **pipeline), base, version, is_open)
+        write_history(scd2_delta(batch, None, spec, cols, store, hot_rows), base, version, is_open, keys, spec.write.buckets)
     else:
-        target = read_snapshot(spark, base, before=version)
+        target = read_buckets_of(batch, base, keys, before=version)
         # A merge reads its source several times, so the batch's rows are stored first.
-        delta = pipeline["store"](scd2_pipeline(events, target, spec, as_of, project, **pipeline), "delta")
+        delta = store(scd2_delta(batch, target, spec, cols, store, hot_rows), "delta")
         now = local_time(timestamp_literal(as_of), spec.zone)
         live = read_open(spark, base, before=version)
-        rows = merged_rows(merge_scd2(live, delta, spec.write.target_keys, now, cols, source_unique=True))
-        append_history(rows, base, version, is_open)
+        rows = merged_rows(merge_scd2(live, delta, keys, now, cols, source_unique=True))
+        append_history(rows, base, version, is_open, keys)
     if spec.read.job_metadata_location is not None:
-        advance_watermark(events, spec.read.event_ts_col, spec.read.job_metadata_location)
+        store_observed(spark, seen, spec.read.job_metadata_location)

@@ -7,7 +7,6 @@ import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +19,13 @@ from histkit.operators.events import union_all
 LOCAL_FOLDER = "/tmp/checkpoints"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asked of the file system: a read that fails would reach every query listener of the session."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the shared folder of ``spark.checkpoint.dir``, which a cluster must set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -148,35 +154,41 @@ def write_target(df: DataFrame, target: str, mode: str = "overwrite", partition_
 
 # A versioned table is a folder of parts and a folder of manifests. A version is committed by one
 # small manifest file, written last; it names every part that is live. Parts are never changed.
-_MANIFEST = "version int, attempt int, schema string, parts array<struct<name: string, closed: boolean>>"
-_OPEN = "_open"
+# Inside a part, open and closed rows lie apart, and the rows of each hash bucket of the key too.
+_MANIFEST = "version int, attempt int, schema string, buckets int, parts array<struct<name: string, closed: boolean>>"
+_OPEN, _BUCKET = "_open", "_bucket"
 
 
 def _manifest(spark: SparkSession, base: str, before: int | None = None):
     """The newest manifest (of a version below ``before``), or None."""
-    try:
-        rows = spark.read.schema(_MANIFEST).parquet(f"{base.rstrip('/')}/manifest")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    path = f"{base.rstrip('/')}/manifest"
+    if not path_exists(spark, path):
         return None
+    rows = spark.read.schema(_MANIFEST).parquet(path)
     if before is not None:
         rows = rows.where(F.col("version") < before)
     return rows.orderBy(F.desc("version"), F.desc("attempt")).first()
 
 
-def _write_part(df: DataFrame, base: str, version: int, open_rows: Column | None) -> str:
+def _bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int") if keys else F.lit(0)
+
+
+def _write_part(df: DataFrame, base: str, version: int, open_rows: Column | None, keys: Sequence[str] = (), buckets: int = 1) -> str:
     name = f"v{int(version)}-{uuid.uuid4().hex}"
     is_open = F.lit(True) if open_rows is None else F.coalesce(open_rows, F.lit(False))
-    df.withColumn(_OPEN, is_open).write.partitionBy(_OPEN).parquet(f"{base.rstrip('/')}/part={name}")
+    rows = df.withColumns({_OPEN: is_open, _BUCKET: _bucket_of(keys, buckets)})
+    if keys:
+        rows = rows.hint("rebalance", _OPEN, _BUCKET)  # not one file per task and bucket
+    rows.write.partitionBy(_OPEN, _BUCKET).parquet(f"{base.rstrip('/')}/part={name}")
     return name
 
 
-def _commit(spark: SparkSession, base: str, version: int, schema: T.StructType, parts: list[tuple[str, bool]]) -> None:
+def _commit(spark: SparkSession, base: str, version: int, schema: T.StructType, parts: list[tuple[str, bool]], buckets: int = 1) -> None:
     """``parts``: name and whether only its closed rows are live. Concurrent readers see the manifest before or this one."""
     last = _manifest(spark, base, int(version) + 1)
     attempt = last.attempt + 1 if last is not None and last.version == int(version) else 1
-    row = spark.createDataFrame([(int(version), attempt, schema.json(), parts)], _MANIFEST)
+    row = spark.createDataFrame([(int(version), attempt, schema.json(), buckets, parts)], _MANIFEST)
     row.coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/manifest")
 
 
@@ -184,7 +196,8 @@ def _live(spark: SparkSession, base: str, manifest) -> DataFrame:
     schema = T.StructType.fromJson(json.loads(manifest.schema))
     base = base.rstrip("/")
     paths = [f"{base}/part={p.name}" for p in manifest.parts]
-    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("part", T.StringType()), T.StructField(_OPEN, T.BooleanType())])).option("basePath", base).parquet(*paths)
+    own = [T.StructField("part", T.StringType()), T.StructField(_OPEN, T.BooleanType()), T.StructField(_BUCKET, T.IntegerType())]
+    rows = spark.read.schema(T.StructType([*schema.fields, *own])).option("basePath", base).parquet(*paths)
     whole = [p.name for p in manifest.parts if not p.closed]
     return rows.where(~F.col(_OPEN) | F.col("part").isin(whole))
 
@@ -195,18 +208,18 @@ def write_snapshot(df: DataFrame, base: str, version: int) -> None:
     _commit(df.sparkSession, base, version, df.schema, [(part, False)])
 
 
-def write_history(df: DataFrame, base: str, version: int, is_open: Column) -> None:
-    """Write the first version of a history, its open and closed rows apart."""
-    part = _write_part(df, base, version, is_open)
-    _commit(df.sparkSession, base, version, df.schema, [(part, False)])
+def write_history(df: DataFrame, base: str, version: int, is_open: Column, keys: Sequence[str] = (), buckets: int = 1) -> None:
+    """Write the first version of a history, its open and closed rows apart, in buckets of the keys."""
+    part = _write_part(df, base, version, is_open, keys, buckets)
+    _commit(df.sparkSession, base, version, df.schema, [(part, False)], buckets)
 
 
-def append_history(df: DataFrame, base: str, version: int, is_open: Column) -> None:
+def append_history(df: DataFrame, base: str, version: int, is_open: Column, keys: Sequence[str] = ()) -> None:
     """A version whose open rows and newly closed rows are ``df``; the rows closed before stay
     where they are. A repeated run builds on the version before it, as the first run did."""
     before = _manifest(df.sparkSession, base, version)
-    part = _write_part(df, base, version, is_open)
-    _commit(df.sparkSession, base, version, df.schema, [*[(p.name, True) for p in before.parts], (part, False)])
+    part = _write_part(df, base, version, is_open, keys, before.buckets)
+    _commit(df.sparkSession, base, version, df.schema, [*[(p.name, True) for p in before.parts], (part, False)], before.buckets)
 
 
 def read_snapshot(spark: SparkSession, base: str, before: int | None = None) -> DataFrame:
@@ -214,9 +227,20 @@ def read_snapshot(spark: SparkSession, base: str, before: int | None = None) ->
     manifest = _manifest(spark, base, before)
     if manifest is None:
         raise LookupError(f"no committed version at {base}")
-    return _live(spark, base, manifest).drop("part", _OPEN)
+    return _live(spark, base, manifest).drop("part", _OPEN, _BUCKET)
 
 
 def read_open(spark: SparkSession, base: str, before: int | None = None) -> DataFrame:
     """Only the open rows of that version: the folders of closed rows are not read."""
-    return _live(spark, base, _manifest(spark, base, before)).where(F.col(_OPEN)).drop("part", _OPEN)
+    return _live(spark, base, _manifest(spark, base, before)).where(F.col(_OPEN)).drop("part", _OPEN, _BUCKET)
+
+
+def read_buckets_of(batch: DataFrame, base: str, keys: Sequence[str], before: int | None = None) -> DataFrame:
+    """The rows of that version in the buckets that the batch's keys fall into; no other folder is
+    read. The numbers of these buckets come to the driver, at most as many as the table has."""
+    spark = batch.sparkSession
+    manifest = _manifest(spark, base, before)
+    if manifest is None:
+        raise LookupError(f"no committed version at {base}")
+    touched = batch.select(_bucket_of(keys, manifest.buckets).alias("b")).distinct().collect()
+    return _live(spark, base, manifest).where(F.col(_BUCKET).isin([r.b for r in touched])).drop("part", _OPEN, _BUCKET)

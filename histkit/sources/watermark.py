@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from histkit.functions.times import timestamp_literal
 from histkit.operators.events import union_all
+from histkit.sources.files import path_exists
 
 COLUMN = "processTimestamp"
 
@@ -18,12 +19,8 @@ COLUMN = "processTimestamp"
 def read_watermark(spark: SparkSession, path: str | None, required: bool = False) -> datetime | None:
     """The stored time (UTC wall time), or None when nothing was stored yet."""
     row = None
-    if path is not None:
-        try:
-            row = spark.read.parquet(path).select(F.col(COLUMN).cast("timestamp_ntz")).first()
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+    if path is not None and path_exists(spark, path):
+        row = spark.read.parquet(path).select(F.col(COLUMN).cast("timestamp_ntz")).first()
     if row is None and required:
         raise LookupError(f"no watermark at {path}")
     return row[0] if row else None
@@ -53,6 +50,26 @@ def advance_watermark(df: DataFrame, col: str, path: str) -> datetime | None:
     return value
 
 
+def observed_maximum(df: DataFrame, col: str) -> tuple[DataFrame, Observation]:
+    """The rows, and an observation of their newest value made while they are read by the next action.
+
+    Unlike a second read after the load, this cannot see rows that arrived in the meantime and
+    were not loaded: a live source loses nothing. The action must read all rows, as a write does.
+    """
+    seen = Observation(f"watermark-{uuid.uuid4().hex}")
+    return df.observe(seen, F.max(F.col(col)).cast("timestamp_ntz").cast("string").alias(COLUMN)), seen
+
+
+def store_observed(spark: SparkSession, seen: Observation, path: str) -> datetime | None:
+    """Store what was observed; an empty load leaves the watermark alone."""
+    text = seen.get.get(COLUMN)
+    if text is None:
+        return None
+    value = datetime.fromisoformat(text)
+    write_watermark(spark, path, value)
+    return value
+
+
 def newer_than(df: DataFrame, col: str, watermark: datetime | str) -> DataFrame:
     """Strictly newer than the watermark; pushed down to files and JDBC sources."""
     return df.where(F.col(col) > timestamp_literal(watermark, df.schema[col].dataType))

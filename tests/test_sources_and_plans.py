@@ -11,6 +11,7 @@ from dataclasses import replace
 
 from histkit.config import JobSpec
 from histkit.operators import merge as mg
+from histkit.operators import scd2
 from histkit.plans import agent, history_job, pull, trial_fact
 from histkit.sources import files
 from histkit.sources import watermark as wm
@@ -88,7 +89,7 @@ def test_stream_of_files_equals_batches(spark, tmp_path):
     for part in (events[:15], events[15:]):
         spark.createDataFrame(part, EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(src)
         load_new_files(spark, src, schema, load, check).awaitTermination()
-    full = history_job.scd2_pipeline(spark.createDataFrame(events, EVENT_SCHEMA), None, spec, "2024-03-01", project)
+    full = scd2.scd2_pipeline(spark.createDataFrame(events, EVENT_SCHEMA), None, spec, "2024-03-01", project)
     assert flat(files.read_snapshot(spark, out)) == flat(full)
 
 
@@ -110,7 +111,7 @@ def test_delta_loads_leave_closed_files_alone(spark, tmp_path):
     load(third, 3)  # a repeated run
     assert all(p.stat().st_mtime_ns == t for p, t in files_then.items())
     assert early.count() == n  # whoever read the first version still can
-    full = history_job.scd2_pipeline(spark.createDataFrame(first + second + third, EVENT_SCHEMA), None, spec, "2024-03-01", project)
+    full = scd2.scd2_pipeline(spark.createDataFrame(first + second + third, EVENT_SCHEMA), None, spec, "2024-03-01", project)
     assert flat(files.read_snapshot(spark, base)) == flat(full)
     assert files.read_open(spark, base).count() == full.where("is_current").count()
     assert files.read_snapshot(spark, base, before=3).count() < full.count()
