@@ -31,12 +31,12 @@ _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0a\x0b\x0c\x0d\t", b
 _GAP = re.compile(rb"[ \n]")
 
 #: Leaves that one group of subtrees holds in memory.
-BUDGET = 1 << 20
+BUDGET = 1 << 19
 #: Slots per group that is expected, and the most slots there are at any size (a number each on the driver).
-SLOTS, MOST_SLOTS = 16, 1 << 18
+SLOTS, MOST_SLOTS = 4, 1 << 18
 #: A task hands on its counts when it has this many suffixes or words.
-ROOM = 1 << 22
-WORDS = 1 << 20
+ROOM = 1 << 20
+WORDS = 1 << 18
 #: Bytes of text that are cut into words at once.
 SEGMENT = 1 << 20
 
@@ -64,7 +64,7 @@ def word_hashes(words: Sequence[bytes]) -> np.ndarray:
 
 def pack_leaves(leaves: np.ndarray, counts: np.ndarray, words: Sequence[bytes]) -> bytes:
     """Leaves (rows of language, words; numbers into ``words``, 0 for none) with the words they use."""
-    used, small = np.unique(leaves, return_inverse=True)
+    used, small = np.unique(leaves.ravel(), return_inverse=True)
     names = b"\n".join(words[i] for i in used)
     wide, most = np.min_scalar_type(max(len(used) - 1, 0)), np.min_scalar_type(int(counts.max()))
     head = np.array([len(names), len(leaves), leaves.shape[1], wide.itemsize, most.itemsize], np.int64).tobytes()
@@ -121,13 +121,17 @@ class Counter:
             cut = _GAP.search(text, end) if end < len(text) else None
             end = cut.start() if cut else len(text)
             words = before + text[at:end].replace(b"\n", b" \n ").split(b" ")
-            last = end == len(text)
-            words = [w for w in words if w] + [b"\n"] * (self.depth if last else 0)
+            if end == len(text):
+                words += [b"\n"] * self.depth
+            before = [w for w in words[-20:] if w][-(self.depth - 1) :]
+            if len(before) < self.depth - 1:
+                before = [w for w in words if w][-(self.depth - 1) :]
             yield from self._count(lang, words)
-            before, at = words[len(words) - self.depth + 1 :], end
+            at = end
 
     def _count(self, lang: bytes, words: list[bytes]) -> Iterator[pa.RecordBatch]:
         ids = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        ids = ids[ids != 0]
         n = max(len(ids) - self.depth + 1, 0)
         key, alive = ids[:n].copy(), ids[:n] != 1
         going = alive
@@ -140,13 +144,16 @@ class Counter:
             yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
+        words, leaves, counts = [*self.number], [], []
         for lang, keys in self.seen.items():
-            key, counts = np.unique(np.concatenate(keys), return_counts=True)
-            if not len(key):
-                continue
-            words = [*self.number, lang]  # the language is the first number of a leaf
-            columns = [np.full(len(key), len(words) - 1)] + [(key >> (_BITS * k)) & ((1 << _BITS) - 1) for k in reversed(range(self.depth))]
-            yield dealt(np.stack(columns, axis=1), counts, words, 1, self.slots)
+            key, n = np.unique(np.concatenate(keys), return_counts=True)
+            # The language is the first number of a leaf.
+            columns = [np.full(len(key), len(words))] + [(key >> (_BITS * k)) & ((1 << _BITS) - 1) for k in reversed(range(self.depth))]
+            words.append(lang)
+            leaves.append(np.stack(columns, axis=1))
+            counts.append(n)
+        if self.size:
+            yield dealt(np.concatenate(leaves), np.concatenate(counts), words, 1, self.slots)
         self.clear()
 
 
@@ -197,6 +204,19 @@ def packed_groups(sizes: Sequence[int], budget: int) -> list[int]:
     return group
 
 
+def _in_order(leaves: np.ndarray, words: int) -> np.ndarray:
+    """The order of the rows: by one number per row where the words' numbers are small enough."""
+    bits = max(words - 1, 1).bit_length()
+    if bits * (leaves.shape[1] - 1) > 62:
+        return np.lexsort([leaves[:, k] for k in reversed(range(leaves.shape[1]))])
+    key = leaves[:, 1].copy()
+    for k in range(2, leaves.shape[1]):
+        key = (key << bits) | leaves[:, k]
+    order = np.argsort(key)
+    _, lang = np.unique(leaves[:, 0], return_inverse=True)
+    return order[np.argsort(lang.astype(np.uint16)[order], kind="stable")] if lang.max() < 1 << 16 else np.lexsort([key, lang])
+
+
 def subtree_nodes(bodies: Sequence[tuple[int, bytes]], depth: int, least: int) -> pa.Table:
     """Nodes of the subtrees over some slots' leaves (level, packed leaves): words and the number
     of leaves below. Nodes that are whole here and occur fewer than ``least`` times are left out.
@@ -214,7 +234,7 @@ def subtree_nodes(bodies: Sequence[tuple[int, bytes]], depth: int, least: int) -
         levels.append(np.full(len(n), level))
     names = list(number)
     leaves, n, level = np.concatenate(parts), np.concatenate(counts), np.concatenate(levels)
-    order = np.lexsort([leaves[:, k] for k in reversed(range(depth + 1))])
+    order = _in_order(leaves, len(names))
     leaves, n, level = leaves[order], n[order], level[order]
     differ = leaves[1:] != leaves[:-1]
     columns: list[list] = [[] for _ in range(depth + 3)]
