@@ -3,7 +3,7 @@
 Every word starts a suffix of at most ``depth`` words that ends with its piece. A task counts
 its own suffixes first, so a passage that stands in many documents travels as one leaf per
 task. Suffixes are then dealt by their prefix: all prefixes of one word that share a hash slot
-go together, slots that hold more leaves than a subtree may have are dealt again by prefixes of
+go together, slots that hold more leaves than a subtree may have are divided by prefixes of
 two words, then three, and slots are packed into groups that fit the memory budget. Each group
 builds its subtrees alone: leaves in order, branches where neighbours part, and the total of
 leaves below a node is the number of times its words occur. Nodes above the prefix of a slot
@@ -41,6 +41,8 @@ WORDS = 1 << 18
 SEGMENT = 1 << 20
 
 _BITS = 21  # of a word's number inside a task; a segment adds at most SEGMENT / 2 words to WORDS
+#: Bits of a slot's number that the parts of a divided slot take.
+_PARTS = 20
 _LEAVES = "level int, slot long, n long, body binary"
 
 
@@ -67,11 +69,17 @@ def pack_leaves(leaves: np.ndarray, counts: np.ndarray, words: Sequence[bytes])
     used, small = np.unique(leaves.ravel(), return_inverse=True)
     names = b"\n".join(words[i] for i in used)
     wide, most = np.min_scalar_type(max(len(used) - 1, 0)), np.min_scalar_type(int(counts.max()))
+    import zstandard
+
     head = np.array([len(names), len(leaves), leaves.shape[1], wide.itemsize, most.itemsize], np.int64).tobytes()
-    return head + names + small.reshape(leaves.shape).astype(wide).tobytes() + counts.astype(most).tobytes()
+    raw = head + names + small.reshape(leaves.shape).astype(wide).tobytes() + counts.astype(most).tobytes()
+    return zstandard.compress(raw, 1)
 
 
 def unpack_leaves(body: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    import zstandard
+
+    body = zstandard.decompress(body)
     names, n, columns, wide, most = np.frombuffer(body, np.int64, 5).tolist()
     at = 40 + names
     leaves = np.frombuffer(body, f"u{wide}", n * columns, at).reshape(n, columns).astype(np.int64)
@@ -79,10 +87,10 @@ def unpack_leaves(body: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     return leaves, counts, body[40:at].split(b"\n")
 
 
-def dealt(leaves: np.ndarray, counts: np.ndarray, words: Sequence[bytes], level: int, slots: int) -> pa.RecordBatch:
-    """One row per slot of the leaves' prefixes."""
+def dealt(leaves: np.ndarray, counts: np.ndarray, words: Sequence[bytes], level: int, slots: int, inside: int = 0) -> pa.RecordBatch:
+    """One row per slot of the leaves' prefixes; ``inside``: the slot of shorter prefixes that these divide."""
     hashes = word_hashes(words)
-    slot = slots_of([hashes[leaves[:, k]] for k in range(level + 1)], level, slots)
+    slot = (inside << _PARTS) + slots_of([hashes[leaves[:, k]] for k in range(level + 1)], level, slots)
     order = np.argsort(slot, kind="stable")
     ends = np.append(np.nonzero(np.diff(slot[order]))[0] + 1, len(order))
     rows = []
@@ -176,15 +184,16 @@ def suffix_leaves(docs: DataFrame, depth: int, slots: int) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary").alias("text")).mapInArrow(count, _LEAVES)
 
 
-def longer_prefixes(leaves: DataFrame, slots: int) -> DataFrame:
-    """The leaves of overfull slots, dealt by prefixes that are one word longer."""
+def longer_prefixes(leaves: DataFrame) -> DataFrame:
+    """The leaves of overfull slots, each slot divided into its number of ``parts`` by prefixes that
+    are one word longer."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for level, body in zip(batch.column(0).to_pylist(), batch.column(3)):
-                yield dealt(*unpack_leaves(body.as_py()), level + 1, slots)
+            for level, slot, body, parts in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                yield dealt(*unpack_leaves(body), level + 1, parts, slot)
 
-    return leaves.mapInArrow(deal, _LEAVES)
+    return leaves.select("level", "slot", "body", "parts").mapInArrow(deal, _LEAVES)
 
 
 def packed_groups(sizes: Sequence[int], budget: int) -> list[int]:
@@ -263,16 +272,18 @@ def phrase_counts(docs: DataFrame, depth: int = 3, least: int = 10, budget: int
     part = store(suffix_leaves(docs, depth, slots), "leaves")
     parts, fitting = [], []
     for level in range(1, depth + 1):
-        sizes = {r.slot: r.n for r in part.groupBy("slot").agg(F.sum("n").alias("n")).collect()}  # at most `slots` numbers
+        sizes = {r.slot: r.n for r in part.groupBy("slot").agg(F.sum("n").alias("n")).collect()}  # about `slots` numbers
         full = {s for s, n in sizes.items() if n > budget} if level < depth else set()
         fitting += [(level, s, n) for s, n in sizes.items() if s not in full]
         parts.append(part)
         if not full:
             break
-        named = docs.sparkSession.createDataFrame([(s,) for s in sorted(full)], "slot long")
-        part = store(longer_prefixes(part.join(F.broadcast(named), "slot", "left_semi").select("level", "slot", "n", "body"), slots), "leaves")
+        # As fine as slots are on average, so a blob of leaves falls into few parts.
+        named = [(s, min(1 << _PARTS, max(2, -(-SLOTS * sizes[s] // budget)))) for s in sorted(full)]
+        named = docs.sparkSession.createDataFrame(named, "slot long, parts int")
+        part = store(longer_prefixes(part.join(F.broadcast(named), "slot")), "leaves")
     groups = packed_groups([n for *_, n in fitting], budget)
-    # At most `slots` rows per level, so this table is bounded too. Slots that were dealt again are not in it.
+    # A level has about `slots` slots at most, as parts are no finer, so this table is bounded too. Divided slots are not in it.
     plan = docs.sparkSession.createDataFrame([(level, s, g) for (level, s, _), g in zip(fitting, groups)], "level int, slot long, group long")
     leaves = parts[0]
     for more in parts[1:]:
