@@ -5,7 +5,7 @@ import pytest
 from helpers import DOCS, awkward, documents, prose
 from pyspark.sql import functions as F
 
-from histkit.llm.sharding import emptiest_first, shard
+from histkit.llm.sharding import emptiest_first, shard, sized_rows, splitters
 
 
 def check(docs, shards, tolerance=None):
@@ -33,6 +33,19 @@ def test_sizes_near_equal_with_a_group_of_a_third(spark):
     check(documents(spark, rows), 8, tolerance=0.05)
 
 
+@pytest.mark.parametrize("ids", ["null", "equal"])
+def test_one_text_of_a_third_without_ids_of_its_own(spark, ids):
+    rows = [(i, prose(i, 5 + i % 40), "en", "s") for i in range(2000)] + [(None if ids == "null" else 7, prose(1, 60), "en", "s")] * 1000
+    check(documents(spark, rows), 8, tolerance=0.05)
+
+
+def test_repeated_rows_are_drawn_one_by_one(spark):
+    rows = sized_rows(documents(spark, [(1, "same text", "en", "s")] * 5000 + [(i, prose(i, 9), "en", "s") for i in range(50)]))
+    total = rows.agg(F.sum("size")).first()[0]
+    drawn = rows.where((F.shiftrightunsigned(F.xxhash64("row", F.lit(1)), 11) + F.lit(0.5)) / F.lit(float(1 << 53)) < F.col("size") * (80 / total))
+    assert 40 <= drawn.count() <= 130 and len(splitters(rows, total, 10)) >= 1
+
+
 @pytest.mark.parametrize("shards", [1, 3, 40])
 def test_awkward_rows(spark, shards):
     check(awkward(spark).withColumn("shard", F.lit(1)).withColumn("key", F.lit(2)), shards)
