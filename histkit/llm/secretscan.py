@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -105,9 +107,10 @@ def candidates(text: str) -> Iterator[tuple[int, str]]:
             at = end
 
 
-def outside(start: int, end: int, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
-    """The parts of start..end that no base span covers."""
-    for s, _, e in base:
+def outside(start: int, end: int, base: list[tuple[int, int, int]], reach: list[int]) -> Iterator[tuple[int, int]]:
+    """The parts of start..end that no base span covers. ``reach``: the farthest end of the base spans up to each."""
+    for k in range(bisect_right(reach, start), len(base)):
+        s, _, e = base[k]
         if s >= end:
             break
         if s > start:
@@ -123,10 +126,10 @@ def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int
     Of a span that a base span cuts, a part that is words joined by marks (a key's name, say) only
     counts if it is one word that is dense by itself.
     """
-    found = []
+    found, reach = [], list(accumulate((e for _, _, e in base), max))
     for at, candidate in candidates(text):
         for start, end in dense_windows(candidate, LEAST_BITS[character_class(candidate)]):
-            for s, e in outside(start + at, end + at, base):
+            for s, e in outside(start + at, end + at, base, reach):
                 if e - s < end - start:
                     part = text[s:e].strip(MARKS)
                     s = text.index(part, s)
@@ -175,8 +178,8 @@ def without_secrets(texts: pd.Series) -> pd.Series:
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_assign, n_access, n_hex, base_sha256, spans and n_entropy.
 
-    Row by row: nothing is shuffled. A null or empty text has no spans. Columns of these names
-    are replaced.
+    Row by row: nothing is shuffled. A null or empty text has no spans, a repeated row is scanned
+    again, an empty table gives no rows. Columns of these names are replaced.
     """
     bounded_batches(docs)
     kept = [c for c in docs.columns if c.lower() not in SPANS.names]
@@ -184,7 +187,8 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span masked; n_chars, where there is one, follows the text."""
+    """``docs`` with every span masked; n_chars, where there is one, follows the text. A null text stays
+    null, repeated rows and an empty table stay as they are."""
     bounded_batches(docs)
     out = docs.withColumn("text", without_secrets("text"))
     if "n_chars" in docs.columns:

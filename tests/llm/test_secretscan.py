@@ -73,6 +73,25 @@ def test_neighbours_of_secrets_and_placeholders_are_masked(spark):
     assert redacted(f"{key}/dummy/{key}") == "[SECRET]dummy[SECRET]"
 
 
+def test_many_spans_in_one_long_text():
+    import time
+
+    from histkit.llm.secretscan import entropy_spans, outside
+
+    rng = random.Random(8)
+    for _ in range(300):
+        base = sorted((s, rng.randint(0, 2), s + rng.randint(1, 30)) for s in rng.sample(range(200), 12))
+        reach = [max(e for _, _, e in base[: k + 1]) for k in range(len(base))]
+        start, end = sorted(rng.sample(range(240), 2))
+        parts = list(outside(start, end, base, reach))
+        assert {x for s, e in parts for x in range(s, e)} == set(range(start, end)) - {x for s, _, e in base for x in range(s, e)}
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    text = " ".join("password=hunter22" if rng.random() < 0.93 else "".join(rng.choices(letters, k=40)) for _ in range(40_000))
+    began, base = time.process_time(), base_spans(text)
+    assert len(base) > 30_000 and len(entropy_spans(text, base)) > 2000
+    assert time.process_time() - began < 8  # 18 s when every span looked at all base spans
+
+
 def test_letters_threshold_finds_random_letters():
     rng = random.Random(6)
     alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
