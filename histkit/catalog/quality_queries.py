@@ -12,9 +12,11 @@ from histkit.catalog.registry import ntz, query, table
 from histkit.operators import events as ev
 from histkit.operators import quality as dq
 from histkit.operators import scd2
+from histkit.operators.quality import QualityError, require_rows
 from histkit.plans.history_job import run_history_job
-from histkit.plans.pull import run_pull
+from histkit.plans.pull import run_bucket_pull, run_pull
 from histkit.sources import files, watermark
+from histkit.sources.buckets import BucketTable
 from histkit.streaming.incremental import load_new_files
 
 
@@ -205,19 +207,20 @@ def snapshot_versions(spark, sf):
 
 @query("scd2_streamed", full_sql(HOURLY_SQL))
 def scd2_streamed(spark, sf):
-    """The history job over event files found by the streaming file source, one file per batch."""
+    """The history job over event files found by the streaming file source: what arrived since the last run is a batch."""
     source, out, checkpoint = (files.scratch_dir(spark, n) for n in ("event-files", "history", "stream"))
     log, at = table(spark, sf, "events"), F.col("ts")
     cuts = [F.lit(c).cast("timestamp_ntz") for c in ("2024-01-11 05:00:00", "2024-01-21 05:00:00")]
-    for part in (at < cuts[0], (at >= cuts[0]) & (at < cuts[1]), at >= cuts[1]):
-        log.where(part).coalesce(1).write.mode("append").parquet(source)
     spec = replace(job(), write=replace(job().write, to_table=out))
 
     def load(batch, batch_id):
         batch = batch.withColumn("envelope_type", envelope_type())
         run_history_job(spark, spec, batch, batch_id + 1, AS_OF, project_user, first_load=batch_id == 0)
 
-    load_new_files(spark, source, log.schema, load, checkpoint, max_files=1).awaitTermination()
+    # Rows without a time arrive first; each arrival is as many files as the table has partitions.
+    for part in (at.isNull() | (at < cuts[0]), (at >= cuts[0]) & (at < cuts[1]), at >= cuts[1]):
+        log.where(part).write.mode("append").parquet(source)
+        load_new_files(spark, source, log.schema, load, checkpoint).awaitTermination()
     return flat_history(files.read_snapshot(spark, out))
 
 
@@ -253,3 +256,59 @@ def watermark_cycle(spark, sf):
     first = orders.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     watermark.advance_watermark(first, "o_orderdate", mark)
     return watermark.newer_than(orders, "o_orderdate", watermark.read_watermark(spark, mark, required=True))
+
+
+@query(
+    "pull_export_hours",
+    """
+    with t as (select c_custkey as k, c_name as v from customer where c_custkey % 3 = 0),
+         s as (select o_custkey as k, max_by(o_orderpriority, (o_orderkey % 3, o_orderdate, o_orderkey)) as v from orders group by 1)
+    select coalesce(t.k, s.k) as k, coalesce(s.v, t.v) as v from t full join s using (k)
+    """,
+)
+def pull_export_hours(spark, sf):
+    """Three hourly exports pulled into a bucketed target, each writing the buckets that change."""
+    base, path, mark = (files.scratch_dir(spark, n) for n in ("export", "pulled", "mark"))
+    target = BucketTable(path, ("k",), 8)
+    kept = table(spark, sf, "customer").where("c_custkey % 3 = 0")
+    target.write(kept.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("v")))
+    rows = table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderpriority").alias("v"), "o_orderdate", "o_orderkey")
+    for hour in range(3):
+        run = f"2024-03-01 0{hour}:00:00"
+        rows.where(F.col("o_orderkey") % 3 == hour).write.parquet(files.hour_path(base, run))
+        run_bucket_pull(spark, base, target, run, "o_orderdate", mark, {"o_orderdate": False, "o_orderkey": False})
+    return target.read(spark)
+
+
+@query(
+    "read_many_tables",
+    """select event_id, user_id, null::double as value, 'a' as origin from events where event_type = 'view'
+       union all select event_id, user_id, value, 'b' from events where event_type = 'click'""",
+)
+def read_many_tables(spark, sf):
+    """The tables listed under a logical name, read, transformed and united by column name."""
+    log = table(spark, sf, "events")
+    parts = [files.scratch_dir(spark, n) for n in ("views", "clicks")]
+    log.where("event_type = 'view'").select("event_id", "user_id", F.lit("a").alias("origin")).write.parquet(parts[0])
+    log.where("event_type = 'click'").select("user_id", "event_id", "value", "ts", F.lit("b").alias("origin")).write.parquet(parts[1])
+    return files.read_tables(spark, {"activity": parts, "other": []}, "activity", lambda df: df.drop("ts"))
+
+
+@query(
+    "target_overwrite_append",
+    """select o_orderkey, o_totalprice, o_orderstatus from orders where o_orderstatus = 'F'
+       union all select o_orderkey, o_totalprice, 'late' from orders where o_orderstatus = 'O'""",
+)
+def target_overwrite_append(spark, sf):
+    """A target that is replaced whole, then added to; an empty input is refused before anything is written."""
+    path = files.scratch_dir(spark, "target")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    files.write_target(orders, path)
+    files.write_target(require_rows(orders.where("o_orderstatus = 'F'")), path)
+    late = orders.where("o_orderstatus = 'O'").withColumn("o_orderstatus", F.lit("late"))
+    files.write_target(require_rows(late), path, "append")
+    try:
+        files.write_target(require_rows(orders.where("o_orderstatus = 'none'")), path)
+    except QualityError:
+        return spark.read.parquet(path)
+    raise AssertionError("an empty input was written")

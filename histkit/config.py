@@ -47,6 +47,7 @@ class WriteSpec:
     checkpoint_location: str | None = None
     hash_exclude: tuple[str, ...] = HASH_EXCLUDE
     buckets: int = 16
+    most_parts: int = 50
 
 
 @dataclass(frozen=True)

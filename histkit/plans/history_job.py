@@ -14,7 +14,7 @@ from histkit.operators import events as ev
 from histkit.operators.merge import merge_scd2, merged_rows
 from histkit.operators.scd2 import DEFAULT_COLUMNS, Scd2Columns, projected_events, scd2_delta
 from histkit.operators.windows import HOT_ROWS
-from histkit.sources.files import append_history, materialize, read_buckets_of, read_open, read_tables, write_history
+from histkit.sources.files import append_history, compact_history, materialize, read_buckets_of, read_open, read_tables, write_history
 from histkit.sources.watermark import observed_maximum, read_watermark, store_observed
 
 
@@ -62,7 +62,8 @@ def run_history_job(
     newest earlier version. The events are read once: their projection is stored, and the
     watermark is observed on the rows that were read for it. A delta load reads the closed rows of the buckets
     of its keys only, for their newest start, and never writes closed rows again: it writes the open rows and
-    those it closes. The watermark moves only after the target was written.
+    those it closes. A target of more than ``most_parts`` parts is written as one again. The watermark moves only
+    after the target was written.
     """
     base, keys = spec.write.to_table, spec.write.target_keys
     is_open = F.col(cols.is_current)
@@ -78,5 +79,6 @@ def run_history_job(
         live = read_open(spark, base, before=version)
         rows = merged_rows(merge_scd2(live, delta, keys, now, cols, source_unique=True))
         append_history(rows, base, version, is_open, keys)
+        compact_history(spark, base, keys, is_open, spec.write.most_parts)
     if spec.read.job_metadata_location is not None:
         store_observed(spark, seen, spec.read.job_metadata_location)

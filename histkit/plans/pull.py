@@ -6,15 +6,15 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from histkit.functions.casts import conform
 from histkit.operators.events import top_rank
 from histkit.operators.merge import merged_rows, new_and_updated, upsert_replace
 from histkit.operators.quality import require_unique
 from histkit.operators.scd2 import audit_struct
-from histkit.sources.files import read_hour, read_snapshot, write_snapshot
-from histkit.sources.watermark import advance_watermark
+from histkit.sources.buckets import BucketTable
+from histkit.sources.files import materialize, read_hour, read_snapshot, write_snapshot
+from histkit.sources.watermark import observed_maximum, store_observed
 
 
 def export_updates(
@@ -49,9 +49,37 @@ def run_pull(
     watermark_path: str | None = None,
     dedup_ascending: Mapping[str, bool] | None = None,
 ) -> None:
-    source = read_hour(spark, export_base, run_ts)
+    """Pull one hour into a new version of a whole table. For big targets see :func:`run_bucket_pull`."""
+    source, seen = _stored_hour(spark, export_base, run_ts, process_ts_col)
     target = read_snapshot(spark, target_base, before=version)
     updates = export_updates(source, target, keys, run_ts, dedup_ascending)
     write_snapshot(merged_rows(upsert_replace(target, updates, keys)), target_base, version)
-    if process_ts_col and watermark_path:
-        advance_watermark(source.select(F.col(process_ts_col)), process_ts_col, watermark_path)
+    if seen is not None and watermark_path:
+        store_observed(spark, seen, watermark_path)
+
+
+def run_bucket_pull(
+    spark: SparkSession,
+    export_base: str,
+    target: BucketTable,
+    run_ts: datetime | str,
+    process_ts_col: str | None = None,
+    watermark_path: str | None = None,
+    dedup_ascending: Mapping[str, bool] | None = None,
+) -> None:
+    """Pull one hour and write its changes: only the buckets of the export's keys are read, and only
+    those with a new or changed row are written again. A repeated pull finds no change and writes nothing."""
+    source, seen = _stored_hour(spark, export_base, run_ts, process_ts_col)
+    keys = list(target.keys)
+    updates = materialize(export_updates(source, target.of_keys(source), keys, run_ts, dedup_ascending), "updates")
+    target.replace(updates.select(*keys), updates)
+    if seen is not None and watermark_path:
+        store_observed(spark, seen, watermark_path)
+
+
+def _stored_hour(spark: SparkSession, export_base: str, run_ts: datetime | str, process_ts_col: str | None):
+    """The hour's rows, read once, and the newest process time among the rows read."""
+    source, seen = read_hour(spark, export_base, run_ts), None
+    if process_ts_col:
+        source, seen = observed_maximum(source, process_ts_col)
+    return materialize(source, "export-hour"), seen

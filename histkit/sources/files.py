@@ -244,3 +244,42 @@ def read_buckets_of(batch: DataFrame, base: str, keys: Sequence[str], before: in
         raise LookupError(f"no committed version at {base}")
     touched = batch.select(_bucket_of(keys, manifest.buckets).alias("b")).distinct().collect()
     return _live(spark, base, manifest).where(F.col(_BUCKET).isin([r.b for r in touched])).drop("part", _OPEN, _BUCKET)
+
+
+def compact_history(spark: SparkSession, base: str, keys: Sequence[str], is_open: Column, most_parts: int = 50) -> bool:
+    """Write the newest version's rows as one part once more than ``most_parts`` hold them.
+
+    The version keeps its number and gets a new manifest, written last, so readers see the many parts or
+    the one; a run that breaks off leaves the version as it was. Files are freed by :func:`remove_unused_parts`.
+    """
+    manifest = _manifest(spark, base)
+    if manifest is None or len(manifest.parts) <= most_parts:
+        return False
+    rows = _live(spark, base, manifest).drop("part", _OPEN, _BUCKET)
+    part = _write_part(rows, base, manifest.version, is_open, keys, manifest.buckets)
+    _commit(spark, base, manifest.version, rows.schema, [(part, False)], manifest.buckets)
+    return True
+
+
+def remove_unused_parts(spark: SparkSession, base: str, keep_versions: int = 2) -> list[str]:
+    """Delete part folders that none of the newest ``keep_versions`` versions names; returns their names.
+
+    Run it when nobody reads older versions and no load is writing: a part is written before the manifest that
+    names it.
+    """
+    if keep_versions < 1:
+        raise ValueError("at least the newest version must stay")
+    base = base.rstrip("/")
+    manifests = spark.read.schema(_MANIFEST).parquet(f"{base}/manifest")
+    newest = manifests.groupBy("version").agg(F.max_by("parts", "attempt").alias("parts")).orderBy(F.desc("version")).limit(keep_versions)
+    named = {p.name for r in newest.collect() for p in r.parts}
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(base)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = []
+    for status in system.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("part=") and name.removeprefix("part=") not in named:
+            system.delete(status.getPath(), True)
+            gone.append(name.removeprefix("part="))
+    return sorted(gone)

@@ -14,6 +14,7 @@ from histkit.operators import merge as mg
 from histkit.operators import scd2
 from histkit.plans import agent, history_job, pull, trial_fact
 from histkit.sources import files
+from histkit.sources.buckets import BucketTable
 from histkit.sources import watermark as wm
 from histkit.streaming.incremental import load_new_files
 
@@ -117,6 +118,43 @@ def test_delta_loads_leave_closed_files_alone(spark, tmp_path):
     assert files.read_snapshot(spark, base, before=3).count() < full.count()
 
 
+def test_many_parts_become_one_and_unused_parts_go(spark, tmp_path):
+    base = str(tmp_path / "target")
+    spec = JobSpec(SPEC.read, replace(SPEC.write, to_table=base, most_parts=3))
+    batches = [[event(i, 10 * n + i, "Updated", f"{n}") for i in range(4)] for n in range(5)]
+    for n, rows in enumerate(batches):
+        history_job.run_history_job(spark, spec, spark.createDataFrame(rows, EVENT_SCHEMA), n + 1, "2024-03-01", project, first_load=n == 0)
+        assert len(files._manifest(spark, base).parts) <= 3
+    whole = scd2.scd2_pipeline(spark.createDataFrame(sum(batches, []), EVENT_SCHEMA), None, spec, "2024-03-01", project)
+    assert flat(files.read_snapshot(spark, base)) == flat(whole)
+    parts = {p.name for p in (tmp_path / "target").glob("part=*")}
+    gone = files.remove_unused_parts(spark, base, 1)
+    left = {p.name for p in (tmp_path / "target").glob("part=*")}
+    assert gone and left == parts - {f"part={g}" for g in gone}
+    assert flat(files.read_snapshot(spark, base)) == flat(whole) and files.remove_unused_parts(spark, base, 1) == []
+    with pytest.raises(ValueError):
+        files.remove_unused_parts(spark, base, 0)
+
+
+def test_bucket_pull_writes_only_changes(spark, tmp_path):
+    base, mark = str(tmp_path / "export"), str(tmp_path / "mark")
+    target = BucketTable(str(tmp_path / "t"), ("k",), 16)
+    target.write(spark.createDataFrame([(i, "old") for i in range(60)], "k int, v string"))
+    run = "2024-03-01 04:00:00"
+    rows = [(1, "old", T0, 1), (2, "new", T0, 2), (2, "older", T0, 1), (99, "c", T0 + timedelta(hours=1), 1)]
+    spark.createDataFrame(rows, "k int, v string, ts timestamp_ntz, n int").write.parquet(files.hour_path(base, run))
+    stamps = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    before = stamps()
+    pull.run_bucket_pull(spark, base, target, run, "ts", mark, {"n": False})
+    after = stamps()
+    changed = set(target.touched(spark.createDataFrame([(2,), (99,)], "k int")))
+    assert {int(p.parent.name.split("=")[1]) for p in before if p not in after} == changed
+    assert {tuple(r) for r in target.read(spark).collect()} == {(i, "old") for i in range(60) if i != 2} | {(2, "new"), (99, "c")}
+    assert wm.read_watermark(spark, mark) == T0 + timedelta(hours=1)
+    pull.run_bucket_pull(spark, base, target, run, "ts", mark, {"n": False})
+    assert stamps() == after  # nothing left to write
+
+
 def test_a_broken_write_is_invisible(spark, tmp_path):
     base = str(tmp_path / "t")
     with pytest.raises(LookupError):
