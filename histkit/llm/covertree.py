@@ -1,8 +1,9 @@
 """Embedding near-dedup: exact cosine links by dual traversal of cover trees.
 
-The vectors of a label are dealt into blocks of bounded size and each block gets a cover tree:
-nested levels whose radii halve, every node with the largest distance to a descendant. For
-each pair of blocks of a label the two trees are walked together. With d the distance
+The vectors of a label go to the nearest of its routing centres, the top level of the search: two
+cells are brought together only if their centres and radii allow a link. A cell is cut into blocks of bounded size and
+each block gets a cover tree: nested levels whose radii halve, every node with the largest distance to a descendant. For
+each pair of blocks in reach the two trees are walked together. With d the distance
 of two nodes' centres and r, s their radii, a pair is dropped if d - r - s is beyond the
 threshold, linked as a whole if d + r + s is within it, and opened otherwise. Undecided pairs
 of points are decided by their cosine. Distances are between unit vectors in double
@@ -23,6 +24,11 @@ from histkit.llm.common import bounded_batches, store
 from histkit.llm.graph import components, local_components
 
 BLOCK = 2048
+#: Routing centres of all labels together, at most, and vectors that are compared with them at once.
+CENTRES = 4096
+#: Vectors drawn for each of them.
+SAMPLED = 4
+ROUTED = 512
 #: Bounds closer to the threshold than this are not trusted: the pair is opened or compared.
 MARGIN = 1e-6
 
@@ -163,19 +169,117 @@ def _matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
     return array.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
 
 
-def near_embeddings(vectors: DataFrame, least: float = 0.98, block: int = BLOCK) -> DataFrame:
+def unit_vectors(vectors: np.ndarray) -> np.ndarray:
+    """Scaled by their largest component first, so extreme components neither overflow nor vanish."""
+    unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+
+
+def routing_centres(rows: DataFrame, block: int, most: int) -> dict[tuple[str, int], np.ndarray]:
+    """Unit vectors that stand for the regions of labels with more than one block: of a sample in the order
+    of a hash, those farthest from each other, about one per block and at most ``most`` of them at any size."""
+    sizes = rows.groupBy("label_key", "dims").agg(F.ceil(F.count("*") / block).alias("blocks")).where("blocks > 1")
+    wanted = min(most, sizes.agg(F.sum("blocks")).first()[0] or 0)
+    if not wanted:
+        return {}
+    large = rows.join(sizes.select("label_key", "dims"), ["label_key", "dims"], "left_semi")
+    drawn = large.orderBy(F.xxhash64("vec_id", "embedding")).limit(SAMPLED * wanted).select("label_key", "dims", "embedding").collect()
+    found: dict[tuple[str, int], list] = {}
+    for r in drawn:
+        found.setdefault((r.label_key, r.dims), []).append(r.embedding)
+    return {k: farthest_first(unit_vectors(np.array(v, float)), -(-len(v) // SAMPLED)) for k, v in found.items()}
+
+
+def farthest_first(unit: np.ndarray, n: int) -> np.ndarray:
+    """Up to ``n`` of the vectors: the first, then always the one farthest from all before."""
+    chosen, away = [0], np.sqrt(((unit - unit[0]) ** 2).sum(axis=1))
+    while len(chosen) < n and away.max() > 0:
+        chosen.append(int(away.argmax()))
+        away = np.minimum(away, np.sqrt(((unit - unit[chosen[-1]]) ** 2).sum(axis=1)))
+    return unit[chosen]
+
+
+def routed(rows: DataFrame, centres: dict[tuple[str, int], np.ndarray]) -> DataFrame:
+    """``rows`` with the cell of each vector (its nearest centre) and its distance there; labels without
+    centres have one cell, as wide as the sphere."""
+    shared = rows.sparkSession.sparkContext.broadcast(centres)
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = list(zip(batch.column("label_key").to_pylist(), batch.column("dims").to_pylist()))
+            cell, far = np.zeros(len(names), np.int32), np.full(len(names), 2.0)
+            column = batch.column("embedding")
+            for name in {n for n in names if n in shared.value}:
+                at = np.array([k for k, n in enumerate(names) if n == name])
+                own = shared.value[name]
+                for start in range(0, len(at), ROUTED):
+                    some = at[start : start + ROUTED]
+                    unit = unit_vectors(_matrix(column.take(pa.array(some)), name[1]))
+                    cosine = unit @ own.T
+                    cell[some] = cosine.argmax(axis=1)
+                    far[some] = np.sqrt(((unit - own[cell[some]]) ** 2).sum(axis=1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(far)], names=[*batch.schema.names, "cell", "far"])
+
+    return rows.mapInArrow(route, "uid long, vec_id long, label_key string, dims int, embedding array<double>, cell int, far double")
+
+
+def cells_in_reach(cells: DataFrame, centres: dict[tuple[str, int], np.ndarray], least: float) -> DataFrame:
+    """Pairs (x_cell <= y_cell) of a label's cells that may hold a link: with d the distance of their
+    centres and r, s their radii, those with d - r - s within the threshold."""
+    limit = math.sqrt(max(0.0, 2 - 2 * least))
+    reach: dict[tuple[str, int], np.ndarray] = {k: np.full(len(c), -np.inf) for k, c in centres.items()}
+    for r in cells.where("several").select("label_key", "dims", "cell", "radius").collect():  # at most one row per centre
+        reach[r.label_key, r.dims][r.cell] = r.radius
+    shared = cells.sparkSession.sparkContext.broadcast((centres, reach))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, radii = shared.value
+        for batch in batches:
+            label, dims, x, y = [], [], [], []
+            for name, size, cell in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                others = [cell]
+                if (name, size) in known:
+                    own, r = known[name, size], radii[name, size]
+                    d = np.sqrt(((own - own[cell]) ** 2).sum(axis=1))
+                    others = np.flatnonzero((d - r - r[cell] <= limit + MARGIN) & (np.arange(len(own)) >= cell)).tolist()
+                label += [name] * len(others)
+                dims += [size] * len(others)
+                x += [cell] * len(others)
+                y += others
+            types = (pa.string(), pa.int32(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((label, dims, x, y), types)], names=["label_key", "dims", "x_cell", "y_cell"])
+
+    return cells.select("label_key", "dims", "cell").mapInArrow(near, "label_key string, dims int, x_cell int, y_cell int")
+
+
+def near_embeddings(vectors: DataFrame, least: float = 0.98, block: int = BLOCK, most_centres: int = CENTRES) -> DataFrame:
     """One row per vector (vec_id, embedding, label): n_links, component_id and kept.
 
     Only vectors of one label and length are compared. Null labels, null or empty vectors,
     zero vectors and those with null or non-finite components link with nothing. Repeated
-    rows are vectors of their own and link with each other. Blocks are dealt by a hash, so a label with most of
-    the rows has more blocks of the same size; pairs of blocks stay within a label.
+    rows are vectors of their own and link with each other, and an empty table gives no rows. The vectors of a
+    large label go to the nearest of a bounded number of centres, cells of more than a block are cut by a hash, and
+    pairs of cells that are too far apart for a link are never brought together.
     """
     bounded_batches(vectors)
-    rows = store(vectors.select(F.monotonically_increasing_id().alias("uid"), F.col("vec_id").cast("long"), "label", F.col("embedding").cast("array<double>").alias("embedding")), "vectors")
-    valid = rows.where(F.col("label").isNotNull() & usable(F.col("embedding"))).withColumn("dims", F.size("embedding"))
-    sizes = valid.groupBy("label", "dims").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks"))
-    dealt = valid.join(sizes, ["label", "dims"]).withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")))
+    vector = F.col("embedding").cast("array<double>")
+    valid = F.col("label").isNotNull() & usable(vector)
+    rows = vectors.select(
+        F.monotonically_increasing_id().alias("uid"),
+        F.col("vec_id").cast("long").alias("vec_id"),
+        F.when(valid, F.col("label").cast("string")).alias("label_key"),
+        F.when(valid, F.size(vector)).otherwise(0).cast("int").alias("dims"),
+        F.when(valid, vector).alias("embedding"),
+    )
+    centres = routing_centres(rows.where("label_key is not null"), block, most_centres)
+    rows = store(routed(rows, centres), "vectors")
+    placed = rows.where("label_key is not null")
+    several = F.concat("label_key", F.lit("/"), F.col("dims").cast("string")).isin([f"{label}/{dims}" for label, dims in centres])
+    cells = placed.groupBy("label_key", "dims", "cell").agg(F.ceil(F.count("*") / block).cast("long").alias("chunks"), F.max("far").alias("radius"))
+    cells = store(cells.withColumn("several", several), "vector-cells")
+    number = lambda cell, chunk: (F.col(cell).cast("long") * (1 << 32) + F.col(chunk)).alias("block")
+    dealt = placed.join(cells.select("label_key", "dims", "cell", "chunks"), ["label_key", "dims", "cell"])
+    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("uid"), F.col("chunks"))).withColumn("block", number("cell", "chunk"))
     schema = "label_key string, dims int, block long, uids binary, vectors binary"
 
     def gather(key: tuple, group: pa.Table) -> pa.Table:
@@ -184,9 +288,13 @@ def near_embeddings(vectors: DataFrame, least: float = 0.98, block: int = BLOCK)
         order = np.argsort(uids)
         return pa.table({"label_key": [key[0].as_py()], "dims": pa.array([key[1].as_py()], pa.int32()), "block": [key[2].as_py()], "uids": [uids[order].tobytes()], "vectors": [points[order].tobytes()]})
 
-    blocks = store(dealt.select(F.col("label").cast("string").alias("label_key"), "dims", "block", "uid", "embedding").groupBy("label_key", "dims", "block").applyInArrow(gather, schema), "vector-blocks")
-    names = blocks.select("label_key", "dims", "block")
-    pairs = names.withColumnRenamed("block", "x").join(names.withColumnRenamed("block", "y"), ["label_key", "dims"]).where("x <= y")
+    blocks = store(dealt.select("label_key", "dims", "block", "uid", "embedding").groupBy("label_key", "dims", "block").applyInArrow(gather, schema), "vector-blocks")
+    cut = cells.select("label_key", "dims", "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
+    numbered = cut.select("label_key", "dims", "cell", number("cell", "chunk"))
+    pairs = cells_in_reach(cells, centres, least)
+    for side in ("x", "y"):
+        pairs = pairs.join(numbered.withColumnsRenamed({"cell": f"{side}_cell", "block": side}), ["label_key", "dims", f"{side}_cell"])
+    pairs = pairs.where("x <= y").select("label_key", "dims", "x", "y")
     for side in ("x", "y"):
         payload = blocks.select("label_key", "dims", F.col("block").alias(side), F.col("uids").alias(f"{side}_uids"), F.col("vectors").alias(f"{side}_vectors"))
         pairs = pairs.join(payload, ["label_key", "dims", side])

@@ -6,7 +6,7 @@ import xxhash
 from helpers import DOCS, awkward, documents, prose
 from pyspark.sql import functions as F
 
-from histkit.llm import simhash
+from histkit.llm import covertree, simhash
 from histkit.llm.covertree import CoverTree, dual_links, near_embeddings
 from histkit.llm.graph import components, local_components
 
@@ -131,6 +131,31 @@ def test_embedding_links(spark):
     assert near_embeddings(vectors(spark, [])).collect() == []
 
 
+def test_cells_out_of_reach_are_never_paired(spark):
+    """Clusters far apart: every link is found, and few pairs of cells are looked at."""
+    rng = np.random.default_rng(11)
+    middles = rng.normal(size=(30, 16))
+    rows = [(i, [float(np.float32(c)) for c in middles[i % 30] + rng.normal(size=16) * 0.03], i // 900) for i in range(1800)]
+    rows += [(5000 + i, rows[0][1], 0) for i in range(300)]  # one vector many times
+    df = vectors(spark, rows)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in near_embeddings(df, block=40).collect()}
+    x = np.array([r[1] for r in rows], dtype=np.float32).astype(float)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    label, ids = np.array([r[2] for r in rows]), np.array([r[0] for r in rows])
+    near = (unit @ unit.T >= 0.98) & (label[:, None] == label)
+    np.fill_diagonal(near, False)
+    root = local_components(*np.nonzero(near), len(rows))
+    assert found == {int(ids[k]): (int(near[k].sum()), int(ids[root[k]])) for k in range(len(rows))}
+
+    valid = df.select(F.col("vec_id").alias("uid"), "vec_id", F.col("label").cast("string").alias("label_key"), F.lit(16).alias("dims"), F.col("embedding").cast("array<double>").alias("embedding"))
+    centres = covertree.routing_centres(valid, 40, 4096)
+    assert sum(map(len, centres.values())) <= 54 and len(covertree.routing_centres(valid, 40, 7)) <= 2
+    placed = covertree.routed(valid, centres)
+    cells = placed.groupBy("label_key", "dims", "cell").agg(F.max("far").alias("radius")).withColumn("several", F.lit(True))
+    pairs, n = covertree.cells_in_reach(cells, centres, 0.98).count(), cells.count()
+    assert n <= pairs < 0.5 * sum(len(c) * (len(c) + 1) / 2 for c in centres.values())
+
+
 def test_empty_documents(spark):
     empty = spark.createDataFrame([], DOCS)
     assert simhash.near_duplicates(empty).collect() == [] and simhash.without_near_duplicates(empty).collect() == []
