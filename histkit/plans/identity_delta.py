@@ -9,9 +9,9 @@ What is stored under one folder, each table by hash buckets of its key:
 * ``history``: the identity history; ``accounts``: the rows of legacy accounts.
 
 A batch changes the timeline of its own identities from their first new hour on. The state
-before that hour is one border row per source. Persons change where those rows
-met them, before or after; an identity outside the batch is rewritten when one of its rows
-belongs to such a person, as its flags compare with the person's best values.
+before that hour is one border row per source, the last change of its staging history. Persons
+change where those rows met them, before or after; an identity outside the batch is rewritten
+when one of its rows belongs to such a person, as its flags compare with the person's best values.
 
 Tables are written so that a load that broke off can be repeated: persons and timeline, with
 which the batch is compared, come last.
@@ -86,7 +86,7 @@ class IdentityTables:
 
 
 def since_border(rows: DataFrame, cuts: DataFrame) -> DataFrame:
-    """Rows of the cut keys from their cut on, and the last row before it."""
+    """Staging rows of the cut keys from their cut on, and the last one before it."""
     rows = rows.join(cuts, KEY)
     early = F.col(HOUR) < F.col("_cut")
     last = F.max(F.when(early, F.col(HOUR))).over(Window.partitionBy(KEY))
@@ -102,7 +102,8 @@ def delta_stages(tables: IdentityTables, batch: Mapping[str, DataFrame], cuts: D
         if table.exists(spark):
             rows = table.of_keys(cuts, before=load).select(*rows.columns).unionByName(rows)
         rows = newest_load(rows, [KEY, HOUR])  # an hour that comes again replaces the stored one
-        out[name] = stage_of_hours(since_border(rows, cuts), KEY, list(tables.tracked[name]))
+        # The border is the last change, not the last hour: columns that are kept but not tracked come from it.
+        out[name] = since_border(stage_of_hours(rows, KEY, list(tables.tracked[name])), cuts)
     return out
 
 
