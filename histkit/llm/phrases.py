@@ -31,14 +31,14 @@ _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0a\x0b\x0c\x0d\t", b
 _GAP = re.compile(rb"[ \n]")
 
 #: Leaves that one group of subtrees holds in memory.
-BUDGET = 1 << 19
+BUDGET = 1 << 18
 #: Slots per group that is expected, and the most slots there are at any size (a number each on the driver).
-SLOTS, MOST_SLOTS = 4, 1 << 18
+SLOTS, MOST_SLOTS = 2, 1 << 18
 #: A task hands on its counts when it has this many suffixes or words.
-ROOM = 1 << 20
-WORDS = 1 << 18
+ROOM = 1 << 19
+WORDS = 1 << 17
 #: Bytes of text that are cut into words at once.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 
 _BITS = 21  # of a word's number inside a task; a segment adds at most SEGMENT / 2 words to WORDS
 #: Bits of a slot's number that the parts of a divided slot take.
@@ -279,7 +279,7 @@ def phrase_counts(docs: DataFrame, depth: int = 3, least: int = 10, budget: int
         if not full:
             break
         # As fine as slots are on average, so a blob of leaves falls into few parts.
-        named = [(s, min(1 << _PARTS, max(2, -(-SLOTS * sizes[s] // budget)))) for s in sorted(full)]
+        named = [(s, min(1 << _PARTS, max(2, -(-2 * sizes[s] // budget)))) for s in sorted(full)]
         named = docs.sparkSession.createDataFrame(named, "slot long, parts int")
         part = store(longer_prefixes(part.join(F.broadcast(named), "slot")), "leaves")
     groups = packed_groups([n for *_, n in fitting], budget)
