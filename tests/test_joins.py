@@ -133,3 +133,40 @@ def test_quality_errors(spark):
     with pytest.raises(dq.QualityError):
         dq.require_rows(df.where("k > 5"))
     assert dq.require_rows(df) is df
+
+
+def _rows_per_task(spark, df):
+    """Rows that each task of the last shuffle gives, with joins that shuffle both sides."""
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_rows_without_a_key_do_not_gather_in_one_task(spark):
+    base = spark.range(4000).select("id", F.when(F.col("id") % 100 == 0, F.col("id")).alias("k"))
+    side = spark.range(0, 4000, 100).select(F.col("id").alias("key"), F.lit("v").alias("v")).union(spark.sql("select cast(null as bigint), 'no'"))
+    out = jn.enrich(base, [jn.Lookup(side, {"k": "key"}, {"v": "v"})])
+    assert out.columns == ["id", "k", "v"]
+    assert sorted(tuple(r) for r in out.where("v is not null").collect()) == [(i, i, "v") for i in range(0, 4000, 100)]
+    assert out.count() == 4000 and max(_rows_per_task(spark, out)) < 1000
+
+
+def test_range_join_of_one_width_spreads_rows_without_a_key(spark):
+    left = spark.range(4000).select("id", F.when(F.col("id") < 3, F.lit(1)).alias("k"), F.lit("2024-01-05").cast("date").alias("at"))
+    left = left.unionByName(spark.sql("select 9000L as id, 1 as k, cast(null as date) as at"))
+    right = spark.sql(
+        """select 1 as k, date'2024-01-01' as lo, date'2024-01-05' as hi, 'a' as v union all select 1, date'2024-01-04', date'2024-01-08', 'b'
+        union all select null, date'2024-01-04', date'2024-01-08', 'c'"""
+    )
+    out = jn.range_join(left, right, {"k": "k"}, "at", "lo", "hi", {"v": "v"})
+    found = sorted((r.id, r.v) for r in out.where("v is not null").collect())
+    assert found == [(i, v) for i in range(3) for v in "ab"]
+    assert out.count() == 4001 + 3 and max(_rows_per_task(spark, out)) < 1000
+    none = jn.range_join(left, right.where("false"), {"k": "k"}, "at", "lo", "hi", {"v": "v"})
+    assert none.count() == 4001 and none.where("v is not null").count() == 0
