@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from histkit.catalog import job_queries
 from histkit.operators import facts
 from histkit.operators import merge as mg
 
@@ -113,3 +114,32 @@ def test_fact_stage_loaded_twice(spark):
     rows = {r.row_key: (str(r.rec_exp_ts), r.is_latest_rec_ind) for r in once.collect()}
     assert rows == {1: ("2024-01-31", "N"), 2: ("2999-12-31", "Y"), 10: ("2999-12-31", "Y")}
     assert got(mg.merged_rows(facts.expire_and_insert(once, stage, match, key))) == got(once)
+
+
+def test_fact_load_stores_its_keys(spark):
+    schema = "row_key int, trial_id int, ftre_cd string, rec_eff_ts string, rec_exp_ts string, is_latest_rec_ind string"
+    fact = frame(spark, [(1, 1, "f", "2024-01-01", "2999-12-31", "Y"), (2, 2, "f", "2024-01-01", "2999-12-31", "Y")], schema)
+    stage = frame(spark, [(10, 1, "f", "2024-02-01", "2999-12-31", "Y"), (None, 2, "f", "2024-02-03", "2999-12-31", "Y"), (2, 2, "f", "2024-01-01", "2999-12-31", "Y")], schema)
+    stored = {}
+
+    def store(df, name):
+        stored[name] = df
+        return df
+
+    how = {"match": {"trial_id": "trial_id", "ftre_cd": "ftre_cd"}, "row_key": {"row_key": "row_key"}}
+    out = facts.expire_and_insert(fact, stage, **how, store=store)
+    assert got(out) == got(facts.expire_and_insert(fact, stage, **how))
+    assert [tuple(r) for r in stored["loaded-keys"].collect()] == [(2,)]
+    assert sorted(r["_start"] for r in stored["starts"].collect()) == ["2024-02-01", "2024-02-03"]
+
+
+def test_fact_load_stores_no_columns_without_values(spark, sf_dir, monkeypatch):
+    stored = {}
+
+    def store(df, name):
+        stored.setdefault(name, df)
+        return df
+
+    monkeypatch.setattr(job_queries, "materialize", store)
+    assert len(job_queries.fact_load(spark, sf_dir).columns) > 100
+    assert len(stored["resolved"].columns) < 30
