@@ -17,6 +17,8 @@ from histkit.sources.files import materialize, path_exists
 
 BUCKET, LOAD, FILLER = "_bucket", "_load", "_filler"
 _OWN = (BUCKET, LOAD, FILLER)
+# A bucket is written by up to this many tasks.
+_PIECE, PIECES = "_piece", 16
 
 
 @dataclass(frozen=True)
@@ -64,7 +66,10 @@ class BucketTable:
 
     def _placed(self, rows: DataFrame, buckets: Sequence[int]) -> DataFrame:
         placed = rows.withColumns({BUCKET: self.bucket()})
-        return placed.withColumn(FILLER, F.lit(False)).unionByName(self._fillers(placed, buckets)).hint("rebalance", BUCKET)
+        placed = placed.withColumn(FILLER, F.lit(False)).unionByName(self._fillers(placed, buckets))
+        # A few buckets would keep as few tasks busy, and later readers too: Spark joins pieces that are small.
+        piece = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys], F.lit(1)), F.lit(PIECES))
+        return placed.withColumn(_PIECE, piece).hint("rebalance", BUCKET, _PIECE).drop(_PIECE)
 
     def write(self, rows: DataFrame) -> None:
         """Make the table, or replace all of it."""

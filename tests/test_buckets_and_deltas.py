@@ -197,3 +197,14 @@ def test_delta_reads_only_its_buckets_of_closed_rows(spark, tmp_path):
     assert "_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
     files.append_history(spark.createDataFrame([(7, 3, True), (7, 2, False)], rows.schema), base, 2, F.col("cur"), ["k"])
     assert sorted((r.v, r.cur) for r in files.read_buckets_of(batch, base, ["k"]).where("k = 7").collect()) == [(0, False), (1, False), (2, False), (3, True)]
+
+
+def test_a_bucket_is_written_by_several_tasks(spark, tmp_path):
+    table = BucketTable(f"{tmp_path}/t", ("k",), 1)
+    rows = spark.range(200_000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    table.write(rows)
+    assert len(list((tmp_path / "t" / f"{BUCKET}=0").glob("*.parquet"))) > 1
+    assert table.read(spark).columns == ["k", "v"] and table.read(spark).exceptAll(rows).isEmpty() and table.read(spark).count() == 200_000
+    few = spark.range(10).withColumnRenamed("id", "k")
+    table.replace(few, few.where("k < 5").withColumn("v", F.lit("new")))
+    assert table.read(spark).count() == 199_995 and table.read(spark).where("v = 'new'").count() == 5
