@@ -29,9 +29,13 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_rows(docs)
 
 
+#: Room of the word tables: workers hold them while the executors' heaps are as large as all stages made them.
+WORD_ROOM = 30_000_000
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token windows of what the mix holds."""
-    return packing.pack(docs, word_tokenizer())
+    return packing.pack(docs, word_tokenizer(), room=WORD_ROOM)
 
 
 STAGES = [

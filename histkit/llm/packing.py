@@ -29,6 +29,10 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, padded_length long"
 
 
+#: Bytes of each of the two generations of words that a worker process remembers.
+ROOM = 120_000_000
+
+
 class WordIds:
     """Token ids of whole texts, remembered per white-space separated word.
 
@@ -43,7 +47,7 @@ class WordIds:
     PLAIN = re.compile("[a-zà-öø-ÿ]+")
     ENDS = b".,;:!?"
 
-    def __init__(self, path: str, room: int = 120_000_000):
+    def __init__(self, path: str, room: int = ROOM):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -55,7 +59,13 @@ class WordIds:
         # bytes for the characters from 256 on, in order.
         seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
         hidden = [b for b in range(256) if b not in seen]
-        self.alphabet = {b: chr(256 + i) for i, b in enumerate(hidden)}
+        self.alphabet = [chr(b) if b in seen else chr(256 + hidden.index(b)) for b in range(256)]
+
+    def limit(self, room: int) -> None:
+        """Remember ``room`` bytes a generation from now on; with less room than before nothing is kept."""
+        if room < self.room:
+            self.new, self.old, self.held = {}, {}, 0
+        self.room = room
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
@@ -73,7 +83,7 @@ class WordIds:
         if known is None:
             stem = word.rstrip(self.ENDS)
             # Marks behind a letter or digit are a piece of their own; behind any other sign they belong to its piece.
-            if stem != word and stem[-1:].isalnum() and b"<|" not in word:
+            if stem != word and b"<|" not in word and (stem[-1:].isalnum() or self.PLAIN.fullmatch(stem.decode()[-1:])):
                 known = self._word(stem) + self._word(word[len(stem) :])
             else:
                 known = self._tokenize(word.decode())
@@ -85,31 +95,33 @@ class WordIds:
 
     def _tokenize(self, word: str) -> bytes:
         if self.PLAIN.fullmatch(word):
-            ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))]
+            letters = word if word.isascii() else "".join(map(self.alphabet.__getitem__, word.encode()))
+            ids = [t.id for t in self.model.tokenize(letters)]
         else:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def word_ids(path: str) -> WordIds:
+def word_ids(path: str, room: int = ROOM) -> WordIds:
     """This process' memory of a tokenizer's words. A worker process runs many tasks, so it is kept
     on an installed module: this one is sent along with each task."""
     import tokenizers
 
     kept = tokenizers.__dict__.setdefault("_word_ids", {})
     if path not in kept:
-        kept[path] = WordIds(path)
+        kept[path] = WordIds(path, room)
+    kept[path].limit(room)
     return kept[path]
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int = 1) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int = 1, room: int = ROOM) -> DataFrame:
     """One row per piece, with the number of the task that cut it and its rank among the pieces
     of its length there. Stored, as a second run of a task may see other rows."""
     bounded_batches(docs)
     end = struct.pack("<I", end_id)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part = word_ids(tokenizer_path), TaskContext.get().partitionId()
+        words, part = word_ids(tokenizer_path, room), TaskContext.get().partitionId()
         ranks = [0] * (window + 1)
         for batch in batches:
             rows = []
@@ -207,14 +219,17 @@ def best_fit_plan(counts: Sequence[int], window: int) -> tuple[list[tuple[int, .
     return moves, sorted(ends)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int = 1) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int = 1, room: int = ROOM) -> DataFrame:
     """Every document's pieces with their sequence and offset there.
 
     ``docs`` has doc_id and text; other columns are ignored. A null or empty text is the end
     id alone, a repeated row is packed again, an empty table gives no rows. A sequence is
     padded to ``window``, unless its number of tokens is a power of two.
+
+    ``room`` bounds what worker processes remember of words, which they hold as long as they
+    live; it changes time and memory only.
     """
-    pieces = token_pieces(docs, tokenizer_path, window, end_id)
+    pieces = token_pieces(docs, tokenizer_path, window, end_id, room)
     by_part = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = by_part.select("length", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))

@@ -1,5 +1,6 @@
 import random
 import struct
+import sys
 import zlib
 from collections import defaultdict
 
@@ -8,6 +9,8 @@ import pytest
 from helpers import DOCS, awkward, documents
 from tokenizers import Tokenizer
 
+import corpus_pipeline
+from histkit.llm import packing
 from histkit.llm.packing import WordIds, best_fit_plan, pack
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -58,6 +61,34 @@ def test_word_ids_of_marks_behind_signs_equal_the_tokenizer():
         assert words.encode(text) == struct.pack(f"<{len(ids)}I", *ids), text
 
 
+def test_word_ids_of_letters_and_marks_equal_the_tokenizer():
+    tokenizer, words = Tokenizer.from_file(PATH), WordIds(PATH)
+    rng = random.Random(5)
+    fixed = ["schön,", "été.!", "ß;", "naïve?!", "\xe0\xff:", "\xd7,", "\xf7.", "Ü,", "ſ,", "é's.", "<|é,", "日,"]
+    drawn = ["".join(rng.choice("abzàéöøÿß÷×Ü.,;:!?'") for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    for text in [*fixed, *drawn, " ".join(fixed)]:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert words.encode(text) == struct.pack(f"<{len(ids)}I", *ids), text
+
+
+def test_word_tables_stay_in_their_room():
+    """A worker holds its table for the whole session, and an executor keeps several workers."""
+    texts = [" ".join(f"w{n}x{k}" for n in range(500)) for k in range(40)]
+    words = WordIds(PATH, room=1_000_000)
+    before = [words.encode(t) for t in texts]
+    size = sum(sys.getsizeof(x) for table in (words.new, words.old) for x in (table, *table, *table.values()))
+    assert len(words.new) + len(words.old) < 15_000 and size < 2_500_000
+    words.limit(100_000)
+    assert not words.new and not words.old
+    assert [words.encode(t) for t in texts] == before
+    assert len(words.new) + len(words.old) < 1500
+
+
+def test_pipeline_packs_with_small_word_tables(spark, monkeypatch):
+    monkeypatch.setattr(packing, "pack", lambda docs, path, **options: options)
+    assert 2 * corpus_pipeline.packed(spark, documents(spark, []), "")["room"] <= 60_000_000
+
+
 def test_pieces_hold_every_id_once(spark):
     docs = awkward(spark).withColumnsRenamed({"lang": "rank", "n_chars": "part"})
     rows = pack(docs, PATH, window=64).collect()
