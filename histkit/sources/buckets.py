@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from histkit.sources.files import materialize, path_exists
@@ -96,6 +97,12 @@ class BucketTable:
 
 
 def newest_load(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Of rows that several loads brought for one key, those of the newest load."""
-    newest = rows.groupBy(*keys).agg(F.max(LOAD).alias("_newest"))
-    return rows.join(newest, list(keys)).where(F.col(LOAD) == F.col("_newest")).drop("_newest", LOAD)
+    """Of rows that several loads brought for one key, those of the newest load. Rows with a null in the key are left out.
+
+    The last of the keys is a time, the others are what windows after this one part rows by: all share one shuffle. A
+    join with the newest load of each key is taken for small, as it has few columns, and sent through the driver.
+    """
+    same = Window.partitionBy(*(keys[:-1] or keys)).orderBy(keys[-1]).rangeBetween(Window.currentRow, Window.currentRow)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    newest = rows.where(known).withColumn("_newest", F.max(LOAD).over(same)).where(F.col(LOAD) == F.col("_newest"))
+    return newest.select(*keys, *[c for c in rows.columns if c not in (*keys, LOAD)])

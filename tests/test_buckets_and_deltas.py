@@ -13,7 +13,7 @@ from histkit.operators.components import components, shared_value_links
 from histkit.operators.timeline import splice
 from histkit.plans.identity_delta import person_versions
 from histkit.sources import files, watermark
-from histkit.sources.buckets import BUCKET, BucketTable
+from histkit.sources.buckets import BUCKET, BucketTable, newest_load
 from histkit.sources.files import materialize
 
 T0 = datetime(2024, 1, 1)
@@ -208,3 +208,13 @@ def test_a_bucket_is_written_by_several_tasks(spark, tmp_path):
     few = spark.range(10).withColumnRenamed("id", "k")
     table.replace(few, few.where("k < 5").withColumn("v", F.lit("new")))
     assert table.read(spark).count() == 199_995 and table.read(spark).where("v = 'new'").count() == 5
+
+
+def test_newest_load_joins_nothing(spark):
+    rows = [(1, at(0), "a", 1), (1, at(0), "b", 2), (1, at(0), "c", 2), (1, at(1), "d", 1), (2, at(0), "e", 1), (2, at(0), "f", None)]
+    rows += [(None, at(0), "g", 3), (3, None, "h", 3), (4, at(0), "i", None)]
+    out = newest_load(spark.createDataFrame(rows, "k int, t timestamp_ntz, v string, _load int"), ["k", "t"])
+    assert out.columns == ["k", "t", "v"]
+    assert sorted(r.v for r in out.collect()) == ["b", "c", "d", "e"]
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning(k") == 1
