@@ -1,11 +1,14 @@
 """MERGE rules: clause order, null keys, ambiguous sources, null-safe differences, facts."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from histkit.catalog import job_queries
 from histkit.operators import facts
 from histkit.operators import merge as mg
+from histkit.sources import files
 
 
 def frame(spark, rows, schema):
@@ -143,3 +146,39 @@ def test_fact_load_stores_no_columns_without_values(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(job_queries, "materialize", store)
     assert len(job_queries.fact_load(spark, sf_dir).columns) > 100
     assert len(stored["resolved"].columns) < 30
+
+
+def test_fact_load_in_slices(spark, sf_dir, monkeypatch):
+    whole = got(job_queries.fact_load(spark, sf_dir))
+    held, kept = [], job_queries.stored_for_now
+
+    def hold(df, name):
+        held.append(df)
+        return kept(df, name)
+
+    monkeypatch.setattr(job_queries, "stored_for_now", hold)
+    monkeypatch.setattr(job_queries, "SLICE_ROWS", 2500)
+    assert got(job_queries.fact_load(spark, sf_dir)) == whole
+    # The lines of a slice are chosen before they are joined with anything.
+    filters = [x for x in held[0]._jdf.queryExecution().optimizedPlan().toString().split("\n") if "xxhash64" in x and "Filter" in x]
+    assert len(held) == 3 and any("l_linenumber" in x for x in filters)
+
+
+def test_slice_keeps_loaded_keys_of_other_slices(spark):
+    schema = "row_key int, trial_id int, ftre_cd string, rec_eff_ts string, rec_exp_ts string, is_latest_rec_ind string"
+    fact = frame(spark, [(1, 1, "f", "2024-01-01", "2999-12-31", "Y"), (2, 2, "f", "2024-01-01", "2999-12-31", "Y")], schema)
+    stage = frame(spark, [(2, 1, "f", "2024-02-01", "2999-12-31", "Y"), (3, 1, "f", "2024-03-01", "2999-12-31", "Y")], schema)
+    match, key = {"trial_id": "trial_id", "ftre_cd": "ftre_cd"}, {"row_key": "row_key"}
+    loaded = facts.loaded_keys(fact, stage, key)
+    parts = [facts.expire_and_insert(fact.where(p), stage.where(p), match, key, loaded=loaded) for p in ("trial_id = 1", "trial_id = 2")]
+    assert got(parts[0].unionByName(parts[1])) == got(facts.expire_and_insert(fact, stage, match, key))
+
+
+def test_shuffle_files_go_when_a_write_ends(spark, tmp_path):
+    conf = "spark.sql.parquet.compression.codec"
+    before = spark.conf.get(conf)
+    with files.sparing_disk(spark):
+        with files.stored_for_now(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts") as rows:
+            folder = rows.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+            assert rows.count() == 7 and os.path.isdir(folder) and ".zstd" in rows.inputFiles()[0]
+    assert not os.path.exists(folder) and spark.conf.get(conf) == before
